@@ -4,3 +4,4 @@ from gondola.plans.registry import REGISTRY, Query, register  # noqa: F401
 from gondola.plans import silver_q  # noqa: F401
 from gondola.plans import catalog_q  # noqa: F401
 from gondola.plans import text_q  # noqa: F401
+from gondola.plans import vectors_q  # noqa: F401
