@@ -5,3 +5,5 @@ from gondola.plans import silver_q  # noqa: F401
 from gondola.plans import catalog_q  # noqa: F401
 from gondola.plans import text_q  # noqa: F401
 from gondola.plans import vectors_q  # noqa: F401
+from gondola.plans import prices_q  # noqa: F401
+from gondola.plans import sources_q  # noqa: F401
