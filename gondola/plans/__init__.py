@@ -8,3 +8,4 @@ from gondola.plans import vectors_q  # noqa: F401
 from gondola.plans import prices_q  # noqa: F401
 from gondola.plans import sources_q  # noqa: F401
 from gondola.plans import receipts_q  # noqa: F401
+from gondola.plans import loop_q  # noqa: F401
