@@ -10,3 +10,4 @@ from gondola.plans import sources_q  # noqa: F401
 from gondola.plans import receipts_q  # noqa: F401
 from gondola.plans import loop_q  # noqa: F401
 from gondola.plans import propagate_q  # noqa: F401
+from gondola.plans import stream_q  # noqa: F401
