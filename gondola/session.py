@@ -70,3 +70,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables that cut lineage."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cluster when its scan yields fewer partitions than the default
+    parallelism (e.g. one large row group), before a CPU-heavy narrow stage (tokenising, n-grams).
+    On real inputs — many files and row groups — this is a no-op and adds no shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
