@@ -45,14 +45,16 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def resume_point(spark: SparkSession, metrics_path: str, run_id: str) -> int:
-    """PIP-27: last finished iteration of a run (0 when none) — from the metrics table, which is
-    written last in every iteration."""
+def resume_point(spark: SparkSession, metrics_path: str, run_id: str) -> tuple[int, bool]:
+    """PIP-27: (last finished iteration, run finished?) — from the metrics table, which is written
+    last in every iteration; a run is finished once an iteration found nothing left to classify."""
     m = _read(spark, metrics_path)
     if m is None:
-        return 0
-    v = m.filter(F.col("run_id") == run_id).agg(F.coalesce(F.max("iteration"), F.lit(0))).first()[0]
-    return int(v)
+        return 0, False
+    r = (m.filter(F.col("run_id") == run_id)
+         .agg(F.coalesce(F.max("iteration"), F.lit(0)).alias("it"),
+              F.coalesce(F.min("batch_size"), F.lit(1)).alias("smallest")).first())
+    return int(r["it"]), int(r["smallest"]) == 0
 
 
 def converge(spark: SparkSession, items: DataFrame, key_col: str, vec_col: str,
@@ -75,8 +77,8 @@ def converge(spark: SparkSession, items: DataFrame, key_col: str, vec_col: str,
     if batch_size is None:   # whole table in a handful of iterations (the count is a one-row aggregate)
         batch_size = max(1, -(-items.count() // 4))
     thr = category_auto
-    start = resume_point(spark, met, run_id) + 1
-    for it in range(start, max_iterations + 1):
+    last, finished = resume_point(spark, met, run_id)
+    for it in range(last + 1, max_iterations + 1 if not finished else last + 1):
         pending = items
         for path in (stg, que):
             done = _read(spark, path)

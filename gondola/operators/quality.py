@@ -109,3 +109,20 @@ def unclassified_tracking(staging: DataFrame, catch_all_id: int) -> DataFrame:
     return (g.withColumn("escape_rate", F.round((F.col("classified") - F.col("catch_all")) / F.col("classified"), 6))
             .withColumn("delta_classified", F.col("classified") - F.lag("classified").over(w))
             .withColumn("delta_catch_all", F.col("catch_all") - F.lag("catch_all").over(w)))
+
+
+def nearest_rank_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                             qs: Sequence[float] = (0.10, 0.90)) -> DataFrame:
+    """AGG-5: nearest-rank percentiles ``sorted(values)[int(n * q)]`` per group — a window rank,
+    not a collected list, so a hot group is never held in memory as one array. Also the
+    interpolated percentile (AGG-4) for comparison."""
+    w = Window.partitionBy(*group_cols).orderBy(value_col)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*group_cols))
+    ranked = df.select(*group_cols, value_col).withColumn("_rn", F.row_number().over(w)).withColumn("_n", n)
+    aggs = [F.max("_n").alias("n")]
+    for q in qs:
+        tag = f"{int(round(q * 100)):02d}"
+        aggs.append(F.max(F.when(F.col("_rn") == F.floor(F.col("_n") * q) + 1, F.col(value_col)))
+                    .alias(f"p{tag}_nearest"))
+        aggs.append(F.round(F.percentile(value_col, q), 6).alias(f"p{tag}_interp"))
+    return ranked.groupBy(*group_cols).agg(*aggs)

@@ -133,3 +133,45 @@ def group_ocr_fragments(frags: DataFrame, doc_col: str, y_col: str, text_col: st
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(y_col, text_col))),
                                           lambda s: s[text_col]), " ").alias("text"),
                  F.avg(conf_col).alias("confidence"), F.count(F.lit(1)).alias("fragments")))
+
+
+NON_ITEM_WORDS = ("SUBTOTAL", "TOTAL", "PROMO", "CANT", "TICKET", "FECHA")
+
+
+def price_only_items(lines: DataFrame, file_col: str = "file", non_items=NON_ITEM_WORDS) -> DataFrame:
+    """Second extractor (PIP-46): any line that starts with an upper-case name and ends with a price,
+    whatever codes it holds; header/total/promo words are not items."""
+    t = F.col("line_text")
+    name = F.trim(F.regexp_extract(t, r"^([A-Z][A-Z ]*[A-Z])", 1))
+    first = F.regexp_extract(t, r"^([A-Z]+)", 1)
+    price = money(F.try_element_at(F.regexp_extract_all(t, F.lit(PRICE_RE), 1), F.lit(-1)))
+    return (lines.filter(t.rlike(r"[0-9]+[,.][0-9]{2}$") & (name != "") & ~first.isin(list(non_items)))
+            .select(file_col, "pos", name.alias("producto"), price.alias("precio")))
+
+
+def combine_strategies(by_ids: DataFrame, by_price: DataFrame, file_col: str = "file") -> DataFrame:
+    """PIP-46 / SET-2 / AGG-6 / AGG-11: union of two extractors on (file, name, price) — distinct —
+    then per file: found by both, only by codes, only by price, union size, first item name."""
+    a = by_ids.select(file_col, "pos", "producto", F.col("precio_pagado").alias("precio"),
+                      F.lit(True).alias("_a"), F.lit(False).alias("_b"))
+    b = by_price.select(file_col, "pos", "producto", "precio", F.lit(False).alias("_a"), F.lit(True).alias("_b"))
+    u = (a.unionByName(b).groupBy(file_col, "producto", "precio")
+         .agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"), F.min("pos").alias("pos")))
+    return u.groupBy(file_col).agg(
+        F.count_if(F.col("_a") & F.col("_b")).alias("both"),
+        F.count_if(F.col("_a") & ~F.col("_b")).alias("ids_only"),
+        F.count_if(~F.col("_a") & F.col("_b")).alias("price_only"),
+        F.count(F.lit(1)).alias("union_items"),
+        F.min_by("producto", "pos").alias("first_item"))
+
+
+def match_context(lines: DataFrame, pattern: str, before: int = 1, after: int = 2,
+                  file_col: str = "file") -> DataFrame:
+    """WIN-10: lines from ``before`` lines ahead of to ``after`` lines past any matching line,
+    labelled match / context — a bounded window per file, no self-join."""
+    w = Window.partitionBy(file_col).orderBy("pos").rowsBetween(-after, before)
+    flag = F.col("line_text").like(pattern).cast("int")
+    return (lines.withColumn("_m", flag).withColumn("_near", F.max("_m").over(w))
+            .filter(F.col("_near") == 1)
+            .select(file_col, "pos", "line_text",
+                    F.when(F.col("_m") == 1, "match").otherwise("context").alias("label")))

@@ -11,3 +11,5 @@ from gondola.plans import receipts_q  # noqa: F401
 from gondola.plans import loop_q  # noqa: F401
 from gondola.plans import propagate_q  # noqa: F401
 from gondola.plans import stream_q  # noqa: F401
+from gondola.plans import archives_q  # noqa: F401
+from gondola.plans import more_q  # noqa: F401
