@@ -175,3 +175,19 @@ def match_context(lines: DataFrame, pattern: str, before: int = 1, after: int =
             .filter(F.col("_near") == 1)
             .select(file_col, "pos", "line_text",
                     F.when(F.col("_m") == 1, "match").otherwise("context").alias("label")))
+
+
+def attach_discounts_by_code(items: DataFrame, discount_lines: DataFrame, file_col: str = "file") -> DataFrame:
+    """PIP-39 / JN-13: discount lines that carry an item's internal 10-digit code. Discounts are
+    summed per (file, code) *before* the join (pin D11), so a repeated code never fans out; the
+    discount is the negated negative amount and base = paid + discount."""
+    t = F.col("line_text")
+    d = (discount_lines
+         .select(file_col, F.nullif(F.regexp_extract(t, CODE10_RE, 2), F.lit("")).alias("product_id"),
+                 money(F.regexp_extract(t, r"-([0-9]+[,.][0-9]{2})", 1)).alias("_d"))
+         .filter(F.col("product_id").isNotNull() & F.col("_d").isNotNull())
+         .groupBy(file_col, "product_id").agg(F.sum(cents(F.col("_d"))).alias("_dc")))
+    return (items.join(d, [file_col, "product_id"], "left")
+            .withColumn("descuento", F.coalesce(F.col("_dc") / 100.0, F.lit(0.0)))
+            .withColumn("precio_base", F.col("precio_pagado") + F.col("descuento"))
+            .drop("_dc"))

@@ -45,8 +45,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    for k, v in conf.items():
-        if k.startswith("spark.sql."):
+    for k, v in conf.items():   # runtime SQL settings also apply to an already running session
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     return spark
 

@@ -16,7 +16,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from gondola.session import checkpoint_dir, get_session
 
-    s = get_session("local[4]", shuffle_partitions=4, app="gondola-tests")
+    s = get_session("local[4]", shuffle_partitions=4, app="gondola-tests",
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="gondola-test-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):   # tests only: no cluster-provided folder
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gondola-test-ckpt-"))

@@ -191,3 +191,13 @@ def test_converge_is_resumable_and_idempotent(spark, tmp_path):
     queued = spark.read.parquet(f"{tmp_path}/review_queue")
     assert staged.count() == staged.select("vec_id").distinct().count()
     assert staged.count() + queued.count() == df.count()  # every vector ends in exactly one place
+
+
+def test_discounts_by_code_sum_before_join(spark):
+    items = spark.createDataFrame([("f", "0000000001", 100.0), ("f", "0000000002", 50.0)],
+                                  "file string, product_id string, precio_pagado double")
+    disc = spark.createDataFrame([("f", "DESC 0000000001 -10,00"), ("f", "DESC 0000000001 -5,50"),
+                                  ("g", "DESC 0000000002 -1,00")], "file string, line_text string")
+    got = {r.product_id: (r.descuento, r.precio_base) for r in
+           receipts.attach_discounts_by_code(items, disc).collect()}
+    assert got == {"0000000001": (15.5, 115.5), "0000000002": (0.0, 50.0)}
