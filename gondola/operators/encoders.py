@@ -14,15 +14,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gondola.functions.text import char_wb_ngrams, strip_accents
+from gondola.functions.text import char_wb_windows, strip_accents
 from gondola.session import spread
 
 
 def hashed_tfidf(df: DataFrame, key: str, text_col: str, dims: int = 256) -> DataFrame:
     """(key, encoder, vector array<double>[dims]) — native hashed char-n-gram TF-IDF."""
-    grams = char_wb_ngrams(strip_accents(F.lower(F.col(text_col))))
+    grams = char_wb_windows(strip_accents(F.lower(F.col(text_col))))
     bucket = (F.conv(F.substring(F.md5(F.col("gram")), 1, 8), 16, 10).cast("long") % dims).cast("int")
-    tf = (spread(df).select(key, F.explode(grams).alias("gram")).withColumn("b", bucket)
+    tf = (spread(df).select(key, F.explode(grams).alias("gram")).filter(F.instr("gram", "  ") == 0)
+          .withColumn("b", bucket)
           .groupBy(key, "b").agg(F.count(F.lit(1)).alias("tf")))
     n = df.select(F.count(F.lit(1))).scalar()
     idf = tf.groupBy("b").agg(F.log((F.lit(1) + n) / (F.lit(1) + F.count(F.lit(1)))).alias("_i"))

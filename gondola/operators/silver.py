@@ -18,10 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Target neighbourhoods and localities of the original feed (case-insensitive).
-REFERENCE_AREAS = ["monserrat", "once", "balvanera"]
-REFERENCE_LOCALITIES = ["ciudad autónoma de buenos aires", "ciudad autonoma de buenos aires",
-                        "capital federal"]
+from gondola.seeds import TARGET_AREAS as REFERENCE_AREAS          # fixed values of the original feed
+from gondola.seeds import TARGET_LOCALITIES as REFERENCE_LOCALITIES
 
 # Stand-in parameters for the driver tables: three named areas + two whole localities (regions).
 FIXTURE_AREAS = ["nation_3", "nation_7", "nation_12"]
@@ -120,12 +118,12 @@ def latest_local_prices(products: DataFrame, stores: DataFrame, chains: DataFram
     """
     areas = [a.lower() for a in areas]
     names = [c.lower() for c in chain_names]
-    latest = products.agg(F.max("week_date").alias("week_date"))
+    latest = products.select(F.max("week_date")).scalar()
     ch = dedupe_chains(chains).filter(norm("cadena").isin(names))
     st = (stores.join(ch, "id_comercio", "inner")
           .filter(norm("sucursales_barrio").isin(areas))
           .select("id_sucursal", "id_comercio", "cadena", "sucursal_nombre", "sucursales_barrio"))
-    feed = (products.join(latest, "week_date", "left_semi")
+    feed = (products.filter(F.col("week_date") == latest)
             .select("week_date", "id_sucursal", "id_comercio", "id_producto",
                     F.col("productos_descripcion").alias("producto"),
                     parse_price(F.col("productos_precio_lista")).alias("precio")))
