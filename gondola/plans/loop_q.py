@@ -9,9 +9,7 @@ product (newest event wins).
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gondola import schemas as S
 from gondola.operators import asks, loop, quality, review
@@ -409,5 +407,3 @@ def suggestion_table(t):
     coh = cluster_coherence(d, "source", "text", seeds.COHERENCE_STOPWORDS, 0.60, 5)
     return asks.suggestion_table(d, "source", "doc_id", coh, samples=5, min_size=10, min_coverage=0.6)
 
-
-__all__ = ["Window", "T"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from gondola.operators import silver
 from gondola.plans.registry import register
 from gondola.plans.sql_standins import BRONZE_CHAINS, BRONZE_PRODUCTS, BRONZE_STORES, with_
@@ -102,5 +100,3 @@ def silver_latest_local(t):
     p, s, c = _bronze(t)
     return silver.latest_local_prices(p, s, c, LOCAL_AREAS, LOCAL_CHAINS)
 
-
-__all__ = ["silver_best_store", "F"]

@@ -6,8 +6,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
-
 from gondola.operators import vectors as V
 from gondola.plans import vectors_q
 from gondola.plans.registry import REGISTRY, register
@@ -54,5 +52,3 @@ def stream_classify(t):
                            f"{root}/staging", f"{root}/_chk", lambda df: classify(df))
     return spark.read.parquet(f"{root}/staging").drop("batch_id")
 
-
-__all__ = ["F"]
