@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gondola.llm import url_filter
+from gondola.llm.bpe import bpe_round_trip
 from gondola.llm.common import table
 from gondola.llm.embed_dedup import embedding_dedup
 from gondola.llm.exact_dedup import exact_dedup
+from gondola.llm.html_extract import extract_main
 from gondola.llm.minhash import near_dedup
 from gondola.llm.mixing import mix_sources
 
@@ -39,6 +42,84 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = comp.vec_id) AS n_lin
        vec_id = component_id AS kept FROM comp"""
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for every page's url; a url is labelled bad where the document it leads to is of quality 0 or toxic."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("key"), F.expr("cast(quality = 0 or toxic = 1 as int)").alias("bad"))
+    out = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), labels)
+    return out.withColumnRenamed("id", "page_id")
+
+
+def _url_sql() -> str:
+    """The template tree in SQL, level by level."""
+    levels = range(1, url_filter.LEVELS + 1)
+
+    def cls(x: str) -> str:
+        return (f"CASE WHEN {x} IS NULL THEN '' WHEN regexp_full_match({x}, '[0-9]+') THEN '{{n}}' "
+                f"WHEN regexp_full_match({x}, '[0-9]+\\.[A-Za-z]+') THEN '{{n}}.' || regexp_extract({x}, '\\.([A-Za-z]+)$', 1) "
+                f"WHEN regexp_full_match({x}, '[0-9]+(-[0-9]+)+') THEN '{{d}}' "
+                f"WHEN regexp_full_match({x}, '[0-9a-fA-F]{{8,}}(-[0-9a-fA-F]+)*') THEN '{{h}}' ELSE {x} END")
+
+    ss = ", ".join(f"s{i}" for i in levels)
+    ctes = ["""
+u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hp AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+       regexp_extract(substr(rest, length(regexp_extract(rest, '^([^/?#]*)', 1)) + 1), '^([^?#]*)', 1) AS path
+       FROM (SELECT page_id, coalesce(rest, '') AS rest FROM u)),
+m AS (SELECT doc_id::VARCHAR AS key, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END)::BIGINT AS bad FROM labels GROUP BY doc_id),
+sg AS (SELECT hp.*, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs, (m.bad IS NOT NULL)::BIGINT AS lab, coalesce(m.bad, 0) AS bad
+       FROM hp LEFT JOIN m ON m.key = ltrim(regexp_extract(path, '([0-9]+)[^0-9]*$', 1), '0'))""",
+            f"""
+r AS (SELECT page_id, host, path, lab, bad, {", ".join(f"{cls(f'segs[{i}]')} AS s{i}" for i in levels)},
+      CASE WHEN len(segs) > {url_filter.LEVELS} THEN '/**' ELSE '' END AS more FROM sg),
+w0 AS (SELECT host, {ss}, more, count(*) AS n, sum(lab) AS lab, sum(bad) AS bad, {", ".join(f"s{i} AS t{i}" for i in levels)} FROM r GROUP BY host, {ss}, more)"""]
+    for i in levels:
+        up = ", ".join(["host", *[f"t{j}" for j in range(1, i)]])
+        ctes.append(f"""
+k{i} AS (SELECT {up}, t{i}, sum(n) AS n FROM w{i - 1} WHERE t{i} <> '' AND t{i} NOT LIKE '{{%' GROUP BY ALL),
+x{i} AS (SELECT {up} FROM k{i} GROUP BY {up} HAVING count(*) > {url_filter.MANY} AND sum(n) < {url_filter.FEW} * count(*)),
+w{i} AS (SELECT * REPLACE (CASE WHEN ({up}) IN (SELECT ({up}) FROM x{i}) AND t{i} <> '' AND t{i} NOT LIKE '{{%' THEN '*' ELSE t{i} END AS t{i}) FROM w{i - 1})""")
+    last = url_filter.LEVELS
+    ctes.append(f"""
+v0 AS (SELECT *, {", ".join(f"t{i} AS b{i}" for i in levels)} FROM w{last})""")
+    for i in levels:
+        up = ", ".join(["host", *[f"b{j}" for j in range(1, i)]])
+        ctes.append(f"""
+n{i} AS (SELECT {up}, b{i}, sum(lab) AS nl, sum(bad) AS nb, sum(sum(lab)) OVER (PARTITION BY {up}) AS pl, sum(sum(bad)) OVER (PARTITION BY {up}) AS pb
+         FROM v{i - 1} GROUP BY {up}, b{i}),
+v{i} AS (SELECT v.* REPLACE (CASE WHEN (CASE WHEN pl = 0 OR pb = 0 OR pb = pl THEN true ELSE power((nb * pl - nl * pb)::DOUBLE, 2)
+         <= {url_filter.Z * url_filter.Z} * (nl * pb * (pl - pb))::DOUBLE END) AND b{i} <> '' THEN '~' ELSE b{i} END AS b{i})
+         FROM v{i - 1} v JOIN n{i} USING ({up}, b{i}))""")
+    bs = ", ".join(f"b{i}" for i in levels)
+    ctes.append(f"""
+lf AS (SELECT host, {bs}, more, sum(lab)::BIGINT AS labelled, sum(bad)::BIGINT AS badn FROM v{last} GROUP BY ALL),
+pr AS (SELECT *, round((badn + {url_filter.WEIGHT} * CASE WHEN sum(labelled) OVER h = 0 THEN 0 ELSE sum(badn) OVER h::DOUBLE / sum(labelled) OVER h END)
+         / (labelled + {url_filter.WEIGHT}), 9) AS purity FROM lf WINDOW h AS (PARTITION BY host)),
+j AS (SELECT v.host, {", ".join(f"v.s{i}" for i in levels)}, v.more, {" || ".join(f"CASE WHEN pr.b{i} = '' THEN '' ELSE '/' || pr.b{i} END" for i in levels)} || more AS template,
+      labelled, badn, purity FROM v{last} v JOIN pr USING (host, {bs}, more)),
+ru AS (SELECT *, CASE WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+      WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+      WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+      WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM r JOIN j USING (host, {ss}, more))
+SELECT page_id, host, path, rule, template, labelled, badn AS bad, purity,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN purity >= {url_filter.REJECT} THEN 'block' ELSE 'allow' END AS verdict FROM ru""")
+    return "WITH" + ",".join(ctes)
+
+
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = extract_main(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:
+    """Byte-level BPE round trip of every document."""
+    import public_tokenizers
+
+    out = bpe_round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                         ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("id", "doc_id")
@@ -115,6 +196,8 @@ SELECT doc_id, domain, language, origin, n_tokens::BIGINT AS n_tokens, unnest(ra
     return "WITH" + ",".join(ctes)
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op5_embedding_dedup": op5_embedding_dedup, "op9_minhash_dedup": op9_minhash_dedup,
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op5_embedding_dedup": op5_embedding_dedup, "op6_url_filter": op6_url_filter,
+           "op7_html_extract": op7_html_extract, "op8_bpe": op8_bpe, "op9_minhash_dedup": op9_minhash_dedup,
            "op10_mix_sources": op10_mix_sources}
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op5_embedding_dedup": OP5_SQL, "op9_minhash_dedup": OP9_SQL, "op10_mix_sources": _mix_sql()}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op5_embedding_dedup": OP5_SQL, "op6_url_filter": _url_sql(),
+           "op9_minhash_dedup": OP9_SQL, "op10_mix_sources": _mix_sql()}
