@@ -8,8 +8,10 @@ drops a candidate before its texts are fetched. Remaining candidates are decided
 Equal sets are one class from the start, so copies cost nothing further. Buckets are not expanded
 into pairs. Rounds offer a linear number of candidates: first each member with its bucket's smallest
 id, then each member with the likeliest member of another component in the bucket; links found merge
-components in between. What is left is decided exactly: every remaining pair of a bucket across
-components whose sketches admit the threshold. Large buckets are compared in blocks of sketches.
+components in between. What is left is decided exactly and without making pairs into rows: the
+remaining members of a bucket meet in pairs of blocks, where every two members of different
+components whose sketches admit the threshold are compared by their full sets (in the first band
+they share only), and a block pair returns the links that merge components.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ BITS = 512
 #: Candidates estimated this far below the threshold (six sigma) are dropped.
 SLACK = 0.24
 #: Rows of a bucket compared at once, block by block.
-BLOCK = 512
+BLOCK = 256
 SEEDS = np.random.Generator(np.random.PCG64(99)).integers(1, 2**63, size=(2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -144,37 +146,92 @@ def _confirm(threshold: tuple[int, int]):
     return run
 
 
-def _compare_blocks(floor: float, best_only: bool):
-    """Candidates across components within one block pair of a bucket.
+def _sides(table: pa.Table):
+    """Ids, components, sketches, and the rows of the left and the right block."""
+    side = table["side"].to_numpy()
+    bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(side), -1)
+    left = np.flatnonzero(side == 0)
+    right = left if table["bi"][0].as_py() == table["bj"][0].as_py() else np.flatnonzero(side == 1)
+    return table["id"].to_numpy(), table["comp"].to_numpy(), bits, left, right
+
+
+def _similar(bits, comp, li, r) -> np.ndarray:
+    """Estimated similarities of rows li and r; -1 within a component."""
+    odd = np.zeros((len(li), len(r)), np.int64)
+    for w in range(bits.shape[1]):
+        odd += np.bitwise_count(bits[li, w][:, None] ^ bits[r, w][None, :])
+    sim = estimate(odd)
+    sim[comp[li][:, None] == comp[r][None, :]] = -1
+    return sim
 
-    best_only: each row with its likeliest partner; else all pairs that the sketches admit.
-    """
+
+def _best_partner(floor: float):
+    """Each row of a block pair with its likeliest partner in another component."""
 
     def run(table: pa.Table) -> pa.Table:
-        side = table["side"].to_numpy()
-        ids, comp = table["id"].to_numpy(), table["comp"].to_numpy()
-        bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(ids), -1)
-        same = table["bi"][0].as_py() == table["bj"][0].as_py()
-        l = np.flatnonzero(side == 0)
-        r = l if same else np.flatnonzero(side == 1)
-        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in range(0, len(l), 128):
-            li = l[i:i + 128]
-            odd = np.zeros((len(li), len(r)), np.int64)
-            for w in range(bits.shape[1]):
-                odd += np.bitwise_count(bits[li, w][:, None] ^ bits[r, w][None, :])
-            sim = estimate(odd)
-            sim[comp[li][:, None] == comp[r][None, :]] = -1
-            if best_only and len(r):
+        ids, comp, bits, left, right = _sides(table)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y in ((left, right), (right, left)) if left is not right else ((left, right),):
+            for i in range(0, len(x) if len(y) else 0, 128):
+                sim = _similar(bits, comp, x[i:i + 128], y)
                 at = sim.argmax(1)
-                ok = sim[np.arange(len(li)), at] >= floor
-                x, y = li[ok], r[at[ok]]
-            else:
-                p, q = np.nonzero(sim >= floor)
-                x, y = li[p], r[q]
-            found_a.append(np.minimum(ids[x], ids[y]))
-            found_b.append(np.maximum(ids[x], ids[y]))
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
+                ok = sim[np.arange(len(at)), at] >= floor
+                p, q = ids[x[i:i + 128][ok]], ids[y[at[ok]]]
+                a.append(np.minimum(p, q))
+                b.append(np.maximum(p, q))
+        return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
+
+    return run
+
+
+def _decide_block(floor: float, threshold: tuple[int, int]):
+    """Links by full sets that merge components of a block pair."""
+    num, den = threshold
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, comp, bits, left, right = _sides(table)
+        bands = np.array(table["bands"].to_pylist(), np.int64).reshape(len(ids), -1)
+        here = table["key"][0].as_py()
+        texts, sets = table["text"], {}
+        root = {c: c for c in comp.tolist()}
+
+        def top(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        def full(i):
+            if i not in sets:
+                sets[i] = next(shingle_sets(texts.slice(i, 1).combine_chunks()))
+            return sets[i]
+
+        a, b = [], []
+        for i in range(0, len(left) if len(right) else 0, 128):
+            li = left[i:i + 128]
+            sim = _similar(bits, comp, li, right)
+            p, q = np.nonzero(sim >= floor)
+            order = np.argsort(-sim[p, q], kind="stable")
+            p, q = li[p[order]], right[q[order]]
+            for at in range(0, len(p), 4096):
+                x, y = p[at:at + 4096], q[at:at + 4096]
+                first = (bands[x] == bands[y]).argmax(1)
+                mine = bands[x, first] == here
+                if left is right:
+                    mine &= x < y
+                for u, v in zip(x[mine].tolist(), y[mine].tolist()):
+                    cu, cv = top(comp[u].item()), top(comp[v].item())
+                    if cu == cv:
+                        continue
+                    m, n = full(u), full(v)
+                    least, most = sorted((len(m), len(n)))
+                    if den * least < num * most:
+                        continue
+                    both = len(np.intersect1d(m, n, assume_unique=True))
+                    if den * both >= num * (len(m) + len(n) - both):
+                        root[max(cu, cv)] = min(cu, cv)
+                        a.append(ids[u])
+                        b.append(ids[v])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -204,44 +261,45 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     keys = reps.select("id", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("center")).where("m > 1")
     buckets = written(keys.join(shared, "key").select("key", "id", "center", "m"), "minhash-buckets")
-    sketches = reps.select("id", "sketch", "n")
+    sketches = reps.select("id", "sketch")
     wanted = written(buckets.select("id").distinct(), "minhash-wanted")
     texts = src.join(wanted, "id", "left_semi")
 
-    links = member
-    seen = None
-    labels = None
-    for step in ("center", "best", "best", "all"):
-        if step == "center":
-            pairs = buckets.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
-            pairs = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a").join(
-                sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b").mapInArrow(
-                _admit(floor), "a long, b long")
-        else:
-            rows = buckets.join(labels, F.col("id") == F.col("node"), "left").select(
-                "key", "id", F.coalesce("comp", "id").alias("comp"))
-            open_ = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-            rows = rows.join(open_.select("key", "m"), "key").join(sketches.select("id", "sketch"), "id")
-            blocks = F.expr(f"cast((m - 1) div {BLOCK} + 1 as int)")
-            rows = rows.select("key", "id", "comp", "sketch", blocks.alias("nb")).withColumn(
-                "own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-            # row i of nb blocks meets blocks i..nb-1 as the left side and 0..i-1 as the right
-            rows = rows.select("key", "id", "comp", "sketch", "own", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
-            rows = rows.select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "id", "comp", "sketch",
-                               (F.col("own") > F.col("other")).cast("int").alias("side"))
-            pairs = rows.groupBy("key", "bi", "bj").applyInArrow(_compare_blocks(floor, step == "best"), "a long, b long").distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = written(pairs, f"minhash-{step}")
-        if step != "center" and pairs.isEmpty():
-            break
-        new = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
-            texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select(
-            "a", "b", "ta", "tb").mapInArrow(_confirm(threshold), "a long, b long")
-        links = written(links.union(new), "minhash-links")
-        seen = pairs if seen is None else seen.union(pairs)
-        labels = components(links)
-        release()
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
+            texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInArrow(
+            _confirm(threshold), "a long, b long")
+
+    def open_rows(labels: DataFrame) -> DataFrame:
+        """Members of buckets that still span components, dealt to pairs of blocks."""
+        rows = buckets.join(labels, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
+        spans = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+        rows = rows.join(spans.select("key", "m"), "key").withColumn("nb", F.expr(f"cast((m - 1) div {BLOCK} + 1 as int)"))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+        return rows.select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "id", "comp",
+                           (F.col("own") > F.col("other")).cast("int").alias("side"))
+
+    # each member with its bucket's smallest id
+    pairs = buckets.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = written(pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a").join(
+        sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b").mapInArrow(_admit(floor), "a long, b long"), "minhash-center")
+    links = written(member.union(confirmed(pairs)), "minhash-links")
+    labels = components(links)
+    release()
+    # each open member with its likeliest partner in another component
+    rows = open_rows(labels).join(sketches.select("id", "sketch"), "id")
+    near = rows.groupBy("key", "bi", "bj").applyInArrow(_best_partner(floor), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
+    links = written(links.union(confirmed(near)), "minhash-links")
+    labels = components(links)
+    release()
+    # all that is left, block against block
+    rows = written(open_rows(labels), "minhash-open")
+    still = texts.join(rows.select("id").distinct(), "id", "left_semi")
+    rows = rows.join(reps.select("id", "sketch", "bands"), "id").join(still, "id")
+    rest = rows.groupBy("key", "bi", "bj").applyInArrow(_decide_block(floor, threshold), "a long, b long")
+    labels = components(written(links.union(rest), "minhash-links"))
+    release()
     return sets.join(labels, sets.id == labels.node, "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("comp", "id"), F.lit(True)).alias("kept"))
