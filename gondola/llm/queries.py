@@ -13,6 +13,7 @@ from gondola.llm.exact_dedup import exact_dedup
 from gondola.llm.html_extract import extract_main
 from gondola.llm.minhash import near_dedup
 from gondola.llm.mixing import mix_sources
+from gondola.llm.quality import classify
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,16 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
 
+def trusted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("trusted"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document; trusted are those labelled of quality 1."""
+    out = classify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), trusted_labels(spark, sf_dir))
+    return out.drop("fp").withColumnRenamed("id", "doc_id")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.9 or more between all embeddings."""
     return embedding_dedup(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
@@ -196,7 +207,7 @@ SELECT doc_id, domain, language, origin, n_tokens::BIGINT AS n_tokens, unnest(ra
     return "WITH" + ",".join(ctes)
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op5_embedding_dedup": op5_embedding_dedup, "op6_url_filter": op6_url_filter,
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_quality_classifier": op3_quality_classifier, "op5_embedding_dedup": op5_embedding_dedup, "op6_url_filter": op6_url_filter,
            "op7_html_extract": op7_html_extract, "op8_bpe": op8_bpe, "op9_minhash_dedup": op9_minhash_dedup,
            "op10_mix_sources": op10_mix_sources}
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op5_embedding_dedup": OP5_SQL, "op6_url_filter": _url_sql(),

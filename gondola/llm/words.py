@@ -55,7 +55,7 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def pieces(offsets: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def pieces(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes (a longer row stands alone)."""
     i, n = 0, len(offsets) - 1
     while i < n:
