@@ -14,6 +14,7 @@ from gondola.llm.html_extract import extract_main
 from gondola.llm.minhash import near_dedup
 from gondola.llm.mixing import mix_sources
 from gondola.llm.quality import classify
+from gondola.llm.substrings import substring_dedup
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +39,24 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("fp").withColumnRenamed("id", "doc_id")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 20-word windows that start earlier elsewhere."""
+    out = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, s, md5(list_aggregate(ws[s:s + 19], 'string_agg', ' ')) AS k
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w WHERE len(ws) >= 20)),
+late AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM late),
+pos AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (SELECT pos.doc_id, string_agg(word, ' ' ORDER BY pos.i) AS t, count(*) AS n FROM pos ANTI JOIN gone ON pos.doc_id = gone.doc_id AND pos.i = gone.i GROUP BY 1)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id"""
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.9 or more between all embeddings."""
     return embedding_dedup(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
@@ -207,8 +226,9 @@ SELECT doc_id, domain, language, origin, n_tokens::BIGINT AS n_tokens, unnest(ra
     return "WITH" + ",".join(ctes)
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_quality_classifier": op3_quality_classifier, "op5_embedding_dedup": op5_embedding_dedup, "op6_url_filter": op6_url_filter,
+QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_quality_classifier": op3_quality_classifier,
+           "op4_substring_dedup": op4_substring_dedup, "op5_embedding_dedup": op5_embedding_dedup, "op6_url_filter": op6_url_filter,
            "op7_html_extract": op7_html_extract, "op8_bpe": op8_bpe, "op9_minhash_dedup": op9_minhash_dedup,
            "op10_mix_sources": op10_mix_sources}
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op5_embedding_dedup": OP5_SQL, "op6_url_filter": _url_sql(),
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_embedding_dedup": OP5_SQL, "op6_url_filter": _url_sql(),
            "op9_minhash_dedup": OP9_SQL, "op10_mix_sources": _mix_sql()}
