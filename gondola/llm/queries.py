@@ -11,12 +11,19 @@ from gondola.llm.common import table
 from gondola.llm.embed_dedup import embedding_dedup
 from gondola.llm.exact_dedup import exact_dedup
 from gondola.llm.html_extract import extract_main
+from gondola.llm.katz import katz_scores
 from gondola.llm.minhash import near_dedup
 from gondola.llm.mixing import mix_sources
 from gondola.llm.quality import classify
 from gondola.llm.substrings import substring_dedup
 
 
+def op1_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz scores of all documents; those whose crc32(doc_id) mod 5 is 1 are held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return katz_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), held_out).withColumnRenamed("id", "doc_id")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of equal texts over all documents."""
     out = exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -226,7 +233,7 @@ SELECT doc_id, domain, language, origin, n_tokens::BIGINT AS n_tokens, unnest(ra
     return "WITH" + ",".join(ctes)
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_quality_classifier": op3_quality_classifier,
+QUERIES = {"op1_katz_scores": op1_katz_scores, "op2_exact_dedup": op2_exact_dedup, "op3_quality_classifier": op3_quality_classifier,
            "op4_substring_dedup": op4_substring_dedup, "op5_embedding_dedup": op5_embedding_dedup, "op6_url_filter": op6_url_filter,
            "op7_html_extract": op7_html_extract, "op8_bpe": op8_bpe, "op9_minhash_dedup": op9_minhash_dedup,
            "op10_mix_sources": op10_mix_sources}
