@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,29 +10,30 @@ from pyspark.sql import functions as F
 from gondola.session import checkpoint_dir
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor and the driver share."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
+    """``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost executors.
+
+    The job's shuffle files go when it ends, as nothing reads them again.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Let go of finished jobs' shuffle files: Spark's cleaner drops them once nothing refers to them."""
-    from pyspark.sql import SparkSession as S
-
-    gc.collect()
-    spark = S.getActiveSession()
-    if spark is not None:
-        spark.sparkContext._jvm.System.gc()
-
-
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

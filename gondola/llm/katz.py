@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm.blocks import deal, pack, unpack, unpack_texts
-from gondola.llm.common import release, spread_scan, text_or_empty, written
+from gondola.llm.common import spread_scan, text_or_empty, written
 from gondola.llm.words import _STEP, mix, pieces, utf8, words
 
 #: Counts above K are reliable and stay undiscounted.
 K = 5
 #: Bytes of text in a block, and bytes of text for each shard of the bigram table, about.
-BLOCK_BYTES, SHARD_BYTES = 24 << 20, 16 << 20
+BLOCK_BYTES, SHARD_BYTES = 10 << 20, 12 << 20
 #: A context that holds over 1/HOT of all tokens (at most HOT of them) is split over shards by the next word.
 HOT = 2000
 #: Fingerprints of the start of a text (a context only) and of its end (a token).
@@ -227,7 +227,6 @@ def katz_scores(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
                     text_or_empty(text_col).alias("text"))
     learn = src.where(~F.col("held_out")).select("text")
     unigrams = written(spread_scan(learn).mapInArrow(_count, "w long, n long").groupBy("w").agg(F.sum("n").alias("c")), "katz-unigrams")
-    release()
     stat = unigrams.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("types"), *[F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, K + 2)],
                         F.sum(F.when(F.col("w") == int(END.view(np.int64)), F.col("c"))).alias("texts")).first()
     total, types, texts = stat.total or 0, stat.types, stat.texts or 0
@@ -246,7 +245,6 @@ def katz_scores(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     merged = requests.repartition(shards, "shard").groupBy("shard").applyInArrow(
         _merge(max(total, 1), d1), "kind int, key long, shard long, z binary, sums array<double>")
     merged = written(merged, "katz-bigrams")
-    release()
     of = {int(r.key): int(r.n) for r in merged.where("kind = 2").groupBy("key").agg(F.sum(F.col("sums")[0]).alias("n")).collect()}
     d2 = discounts([of.get(r, 0) for r in range(K + 2)])
     # a context's parts may lie in several shards when it was split

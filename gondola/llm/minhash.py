@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import release, spread_scan, written
+from gondola.llm.common import spread_scan, written
 from gondola.llm.components import components
 from gondola.llm.words import chain, mix, pieces, utf8, words
 
@@ -286,20 +286,17 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
         sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b").mapInArrow(_admit(floor), "a long, b long"), "minhash-center")
     links = written(member.union(confirmed(pairs)), "minhash-links")
     labels = components(links)
-    release()
     # each open member with its likeliest partner in another component
     rows = open_rows(labels).join(sketches.select("id", "sketch"), "id")
     near = rows.groupBy("key", "bi", "bj").applyInArrow(_best_partner(floor), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
     links = written(links.union(confirmed(near)), "minhash-links")
     labels = components(links)
-    release()
     # all that is left, block against block
     rows = written(open_rows(labels), "minhash-open")
     still = texts.join(rows.select("id").distinct(), "id", "left_semi")
     rows = rows.join(reps.select("id", "sketch", "bands"), "id").join(still, "id")
     rest = rows.groupBy("key", "bi", "bj").applyInArrow(_decide_block(floor, threshold), "a long, b long")
     labels = components(written(links.union(rest), "minhash-links"))
-    release()
     return sets.join(labels, sets.id == labels.node, "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("comp", "id"), F.lit(True)).alias("kept"))

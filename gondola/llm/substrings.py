@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import release, spread_scan, text_or_empty, written
-from gondola.llm.words import _P, _power, chain, mix, pieces, utf8, words
+from gondola.llm.common import spread_scan, text_or_empty, written
+from gondola.llm.words import _P, _STEP, _power, mix, pieces, utf8, words
 
 WINDOW = 20
 ROUNDS = 6
@@ -125,66 +125,60 @@ def _pieces(batch, column: str):
 
 
 def _named(batches):
+    """The runs of windows that share a name, each with two fingerprints of the words that it covers."""
     for batch in batches:
-        ids = batch.column("id").to_numpy()
+        ids, parts = batch.column("id").to_numpy(), batch.column("part").to_numpy()
         for i, h, first in _pieces(batch, "text"):
-            name, start, _ = window_names(h, first)
+            name, start, size = window_names(h, first)
             row = np.searchsorted(first, start, "right") - 1
-            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(ids[i + row]), pa.array((start - first[row]).astype(np.int32))],
-                                             names=["name", "id", "start"])
+            one, two = _prints(h, start, start + size + WINDOW - 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(name.view(np.int64)), pa.array(one), pa.array(two), pa.array(ids[i + row]), pa.array(parts[i + row]),
+                 pa.array((start - first[row]).astype(np.int32)), pa.array(size.astype(np.int32))], names=["name", "key", "key2", "id", "part", "start", "size"])
 
 
-def _second(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A further 32-bit fingerprint of the windows at ``starts``, independent of the first."""
-    return (_spans(h)(starts, starts + WINDOW) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def _prints(h: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """A 64-bit and an independent 32-bit fingerprint of the words lo to hi."""
+    return _spans(h)(lo, hi).view(np.int64), (_spans(mix(h + _STEP))(lo, hi) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _windows(batches):
-    """Content of the windows whose name repeats; ``starts`` lists the first window of each such run."""
+    """The single windows of listed runs with their fingerprints."""
     for batch in batches:
-        ids = batch.column("id").to_numpy()
-        chosen = batch.column("starts")
+        ids, parts = batch.column("id").to_numpy(), batch.column("part").to_numpy()
+        starts, sizes = batch.column("starts"), batch.column("sizes")
         for i, h, first in _pieces(batch, "text"):
-            _, start, size = window_names(h, first)
-            if not len(start):
-                continue
-            row = np.searchsorted(first, start, "right") - 1
-            picked = chosen.slice(i, len(first) - 1)
-            flat = first[np.repeat(np.arange(len(picked)), picked.value_lengths().to_numpy())] + picked.flatten().to_numpy()
-            take = np.isin(start, flat)
-            start, size, row = start[take], size[take], row[take]
-            if not len(start):
-                continue
-            each = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            picked, n = starts.slice(i, len(first) - 1), sizes.slice(i, len(first) - 1)
+            row = np.repeat(np.arange(len(picked)), picked.value_lengths().to_numpy())
+            start, size = first[row] + picked.flatten().to_numpy(), n.flatten().to_numpy().astype(np.int64)
+            each = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
             row = np.repeat(row, size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chain(h, WINDOW)[each].view(np.int64)), pa.array(_second(h, each)), pa.array(ids[i + row]),
-                 pa.array((each - first[row]).astype(np.int32))], names=["key", "key2", "id", "start"])
+            one, two = _prints(h, each, each + WINDOW)
+            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(ids[i + row]), pa.array(parts[i + row]),
+                                              pa.array((each - first[row]).astype(np.int32))], names=["key", "key2", "id", "part", "start"])
 
 
 def _cut(batches):
-    """Texts without the words of the listed windows."""
+    """Texts without the words of the listed runs of windows."""
     for batch in batches:
-        listed = batch.column("gone").to_pylist()
+        starts, sizes = batch.column("starts"), batch.column("sizes")
         raw_texts = batch.column("text").to_pylist()
         n_words, n_gone, texts = [], [], []
         for i, h, first in _pieces(batch, "text"):
+            picked, n = starts.slice(i, len(first) - 1), sizes.slice(i, len(first) - 1)
+            lengths = np.nan_to_num(picked.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+            row = np.repeat(np.arange(len(picked)), lengths)
+            start, size = first[row] + picked.flatten().to_numpy(), n.flatten().to_numpy().astype(np.int64)
+            gone = np.zeros(len(h) + 1, np.int64)
+            np.add.at(gone, start, 1)
+            np.add.at(gone, start + size + WINDOW - 1, -1)
+            kept = np.cumsum(gone)[:-1] == 0
             for r in range(len(first) - 1):
-                a, b = int(first[r]), int(first[r + 1])
-                gone = np.zeros(b - a + 1, np.int64)
-                if listed[i + r]:
-                    start = np.array([x["start"] for x in listed[i + r]])
-                    key2 = np.array([x["key2"] for x in listed[i + r]])
-                    inside = start + WINDOW <= b - a  # rows of one id may differ in text
-                    start, key2 = start[inside], key2[inside]
-                    start = np.unique(start[_second(h[a:b], start) == key2]) if len(start) else start
-                    np.add.at(gone, start, 1)
-                    np.add.at(gone, start + WINDOW, -1)
-                kept = np.cumsum(gone)[:-1] == 0
+                own = kept[first[r]:first[r + 1]]
                 split = (raw_texts[i + r] or "").encode("utf-8", "surrogatepass").split()
-                n_words.append(b - a)
-                n_gone.append(int((~kept).sum()))
-                texts.append(b" ".join(split if kept.all() else compress(split, kept.tolist())).decode("utf-8", "surrogatepass"))
+                n_words.append(len(own))
+                n_gone.append(int((~own).sum()))
+                texts.append(b" ".join(split if not n_gone[-1] else compress(split, own.tolist())).decode("utf-8", "surrogatepass"))
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(texts, pa.string())],
                                          names=["id", "n_words", "n_removed", "text"])
 
@@ -194,28 +188,35 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A word goes when a window of 20 words covers it whose words also start earlier: at a smaller id, or
     at a smaller word number of the same id. A null id counts as smaller than any other. Rows that share an
-    id are one document for that order: the same window at the same word number of both is no earlier start, so
-    rows equal in id and text come out alike. Null and empty texts have no words. An empty table gives an empty
-    result; extra columns are ignored.
+    id are told apart by a hash of their text, which decides between equal word numbers; rows equal in
+    id and text are one document and come out alike. Null and empty texts have no words. An empty table gives
+    an empty result; extra columns are ignored.
     """
     low = F.lit(-(1 << 63)).cast("long")
-    src = df.select(F.coalesce(F.col(id_col).cast("long"), low).alias("id"), text_or_empty(text_col).alias("text"))
-    named = spread_scan(src).mapInArrow(_named, "name long, id long, start int")
+    src = df.select(F.coalesce(F.col(id_col).cast("long"), low).alias("id"), F.hash(text_or_empty(text_col)).alias("part"), text_or_empty(text_col).alias("text"))
+    named = written(spread_scan(src).mapInArrow(_named, "name long, key long, key2 int, id long, part int, start int, size int"), "substr-named")
+    # windows whose name occurs once can't repeat; a name that very many runs share is combined before the shuffle,
+    # and in the join it is a skewed key, which Spark splits
     again = named.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    # the counts are small rows combined before the shuffle; a name that very many windows share is a skewed join key, which Spark splits
-    hits = written(named.join(again, "name").select("id", "start"), "substr-hits")
-    release()
-
-    def candidates() -> DataFrame:
-        starts = hits.groupBy("id").agg(F.collect_list("start").alias("starts"))
-        return src.join(starts, "id").mapInArrow(_windows, "key long, key2 int, id long, start int")
-
-    place = F.struct("id", "start")
-    firsts = written(candidates().groupBy("key", "key2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select(
-        "key", "key2", F.col("first.id").alias("first_id"), F.col("first.start").alias("first_start")), "substr-firsts")
-    release()
-    later = candidates().join(firsts, ["key", "key2"]).where("id > first_id or start > first_start")
-    gone = written(later.select("id", "start", "key2").groupBy("id").agg(F.collect_list(F.struct("start", "key2")).alias("gone")), "substr-gone")
-    release()
-    out = src.join(gone, "id", "left").select("id", "text", "gone").mapInArrow(_cut, "id long, n_words long, n_removed long, text string")
+    hits = written(named.join(again, "name"), "substr-hits")
+    place = F.struct("id", "start", "part")
+
+    def first_places(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.min(place).alias("first"))
+
+    # runs whose whole content starts earlier go as they are
+    run = ["key", "key2", "size"]
+    firsts = written(first_places(hits, [*run, "name"]), "substr-runs")
+    late_runs = hits.join(firsts.select(*run, "name", "first"), [*run, "name"]).where(place > F.col("first")).select("id", "part", "start", "size")
+    # the first run of each content is compared window by window with the other contents under its name
+    mixed = firsts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    open_runs = firsts.join(mixed, "name", "left_semi").select("first.id", "first.part", "first.start", "size")
+    lists = open_runs.groupBy("id", "part").agg(F.collect_list(F.struct("start", "size")).alias("l")).select(
+        "id", "part", F.col("l.start").alias("starts"), F.col("l.size").alias("sizes"))
+    windows = written(src.join(lists, ["id", "part"]).mapInArrow(_windows, "key long, key2 int, id long, part int, start int").distinct(), "substr-windows")
+    late = windows.join(first_places(windows, ["key", "key2"]), ["key", "key2"]).where(place > F.col("first")).select(
+        "id", "part", "start", F.lit(1).alias("size"))
+    gone = late_runs.union(late).groupBy("id", "part").agg(F.collect_list(F.struct("start", "size")).alias("l"))
+    gone = written(gone.select("id", "part", F.col("l.start").alias("starts"), F.col("l.size").alias("sizes")), "substr-gone")
+    out = src.join(gone, ["id", "part"], "left").select("id", "text", "starts", "sizes").mapInArrow(_cut, "id long, n_words long, n_removed long, text string")
     return out.withColumn("id", F.nullif("id", low))
