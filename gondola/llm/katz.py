@@ -22,7 +22,7 @@ from gondola.llm.words import _STEP, mix, pieces, utf8, words
 #: Counts above K are reliable and stay undiscounted.
 K = 5
 #: Bytes of text in a block, and bytes of text for each shard of the bigram table, about.
-BLOCK_BYTES, SHARD_BYTES = 10 << 20, 12 << 20
+BLOCK_BYTES, SHARD_BYTES = 12 << 20, 12 << 20
 #: A context that holds over 1/HOT of all tokens (at most HOT of them) is split over shards by the next word.
 HOT = 2000
 #: Fingerprints of the start of a text (a context only) and of its end (a token).
@@ -90,21 +90,54 @@ def _block_tokens(table: pa.Table):
     return np.concatenate(c), np.concatenate(t), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
 
 
-def _words_of(table: pa.Table) -> pa.Table:
-    met = [np.array([START, END])]
-    for at in range(0, len(table), 256):
-        data, offsets = unpack_texts(table["z"], at, 256)
-        for i, j in pieces(offsets):
-            own = offsets[i:j + 1]
-            met.append(np.unique(words(data[own[0]:own[-1]], own - own[0], fold=True)[0]))
-    w = np.unique(np.concatenate(met))
-    return pa.table({"block": pa.array(np.full(len(w), table["block"][0].as_py(), np.int64)), "w": pa.array(w.view(np.int64))})
+def _split(keys: np.ndarray, shards: int):
+    """The order of sorted keys by shard (the signed key modulo shards), and each shard's range in it."""
+    shard = keys.view(np.int64) % shards
+    order = np.argsort(shard, kind="stable")
+    return order, np.searchsorted(shard[order], np.arange(shards + 1))
+
+
+def _words_of(shards: int):
+    """A block's distinct words, packed, one row per shard."""
 
+    def run(table: pa.Table) -> pa.Table:
+        met = [np.array([START, END])]
+        for at in range(0, len(table), 256):
+            data, offsets = unpack_texts(table["z"], at, 256)
+            for i, j in pieces(offsets):
+                own = offsets[i:j + 1]
+                met.append(np.unique(words(data[own[0]:own[-1]], own - own[0], fold=True)[0]))
+        keys = np.unique(np.concatenate(met))
+        order, at = _split(keys, shards)
+        z = [pack(keys[order[at[s]:at[s + 1]]]) for s in range(shards)]
+        return pa.table({"shard": pa.array(range(shards), pa.int64()), "block": pa.array([table["block"][0].as_py()] * shards, pa.int64()), "z": pa.array(z, pa.binary())})
+
+    return run
 
-def _lookup(answers: pa.Table, *names: str):
-    key = answers["w"].to_numpy().view(np.uint64)
+
+def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """Counts and backoff weights of asked words, in the order asked; an unknown word has count 0 and weight 1."""
+    key = np.append(known["w"].to_numpy().view(np.uint64), np.uint64(0))
     order = np.argsort(key)
-    return key[order], *[answers[n].to_numpy(zero_copy_only=False)[order] for n in names]
+    key, c, alpha = key[order], np.append(known["c"].to_numpy(), 0)[order], np.append(known["alpha"].to_numpy(), 1.0)[order]
+    out = []
+    for z in asked["z"].to_pylist():
+        w = unpack(z)[0]
+        at = np.minimum(np.searchsorted(key, w), len(key) - 1)
+        hit = key[at] == w
+        out.append(pack(np.where(hit, c[at], 0), np.where(hit, alpha[at], 1.0).view(np.uint64)))
+    return pa.table({"block": asked["block"], "shard": asked["shard"], "z": pa.array(out, pa.binary())})
+
+
+def _lookup(context, token, answers: pa.Table, shards: int):
+    """(words of the block, counts, backoff weights), from the packed answers of all shards."""
+    key = np.unique(np.concatenate([[START, END], token]))
+    order, _ = _split(key, shards)
+    got = [unpack(z) for z in answers.sort_by("shard")["z"].to_pylist()]
+    c, alpha = np.empty(len(key), np.int64), np.empty(len(key))
+    c[order] = np.concatenate([g[0] for g in got]).astype(np.int64)
+    alpha[order] = np.concatenate([g[1] for g in got]).view(np.float64)
+    return key, c, alpha
 
 
 def _bigrams(context, token):
@@ -124,7 +157,7 @@ def _request(total: int, shards: int):
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         context, token, first = _block_tokens(docs)
-        key, c = _lookup(answers, "c")
+        key, c, _ = _lookup(context, token, answers, shards)
         left, right, inverse = _bigrams(context, token)
         learn = np.repeat(~docs["held_out"].to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
         seen = np.bincount(inverse[learn], minlength=len(left))
@@ -192,8 +225,8 @@ def _evaluate(total: int, types: int, d1: list[float], d2: list[float], unknown:
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         context, token, first = _block_tokens(docs)
-        is_word = answers["w"].is_valid()
-        key, c, alpha = _lookup(answers.filter(is_word), "c", "alpha")
+        is_word = pa.compute.equal(answers["kind"], 1)
+        key, c, alpha = _lookup(context, token, answers.filter(is_word), shards)
         left, right, inverse = _bigrams(context, token)
         at_left, at_right = np.searchsorted(key, left), np.searchsorted(key, right)
         order = np.argsort(_shards(left, right, c[at_left], total, shards), kind="stable")
@@ -238,10 +271,16 @@ def katz_scores(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     dealt = deal(src, ["id", "fp"], BLOCK_BYTES)
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(spark.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
-    asked = dealt.groupBy("block").applyInArrow(_words_of, "block long, w long")
+    asked = dealt.groupBy("block").applyInArrow(_words_of(shards), "shard long, block long, z binary")
     known = unigrams.union(start)
-    answers = asked.join(known, "w", "left").select("block", "w", F.coalesce("c", F.lit(0)).alias("c"))
-    requests = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_request(max(total, 1), shards), "shard long, block long, z binary")
+
+    def answered(words_: DataFrame) -> DataFrame:
+        by = words_.withColumn("shard", F.pmod("w", F.lit(shards)))
+        return asked.repartition(shards, "shard").groupBy("shard").cogroup(by.repartition(shards, "shard").groupBy("shard")).applyInArrow(
+            _answer, "block long, shard long, z binary")
+
+    requests = dealt.groupBy("block").cogroup(answered(known.withColumn("alpha", F.lit(1.0))).groupBy("block")).applyInArrow(
+        _request(max(total, 1), shards), "shard long, block long, z binary")
     merged = requests.repartition(shards, "shard").groupBy("shard").applyInArrow(
         _merge(max(total, 1), d1), "kind int, key long, shard long, z binary, sums array<double>")
     merged = written(merged, "katz-bigrams")
@@ -256,11 +295,8 @@ def katz_scores(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     # when all mass is used the floor keeps unseen words possible; the sum then exceeds one by 1e-12
     weights = parts.select("w", F.greatest(alpha, F.lit(1e-12)).alias("alpha"))
     table = written(known.join(weights, "w", "left").select("w", "c", F.coalesce("alpha", F.lit(1.0)).alias("alpha")), "katz-model")
-    words_back = asked.join(table, "w", "left").select(
-        "block", "w", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("alpha", F.lit(1.0)).alias("alpha"),
-        F.lit(None).cast("long").alias("shard"), F.lit(None).cast("binary").alias("z"))
-    counts_back = merged.where("kind = 0").select(F.col("key").alias("block"), F.lit(None).cast("long").alias("w"), F.lit(0).cast("long").alias("c"),
-                                                  F.lit(1.0).alias("alpha"), "shard", "z")
+    words_back = answered(table).withColumn("kind", F.lit(1))
+    counts_back = merged.where("kind = 0").select(F.col("key").alias("block"), "shard", "z", F.lit(0).alias("kind"))
     kind = src.schema["id"].dataType.simpleString()
     out = dealt.groupBy("block").cogroup(words_back.union(counts_back).groupBy("block")).applyInArrow(
         _evaluate(max(total, 1), types, d1, d2, unknown, shards), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
