@@ -9,6 +9,7 @@ and idempotent on (run, iteration, id) (pins D22, D23). Only one-row aggregates
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from gondola.operators import mutate, vectors
 from gondola.operators.quality import latest_per_product
-from gondola.session import scratch_path
+from gondola.session import read_if_written, scratch_path
 
 
 def adapt_threshold(rate: float, current: float, lo: float, hi: float, step: float = 0.05,
@@ -29,26 +30,10 @@ def adapt_threshold(rate: float, current: float, lo: float, hi: float, step: flo
     return round(min(hi, max(lo, current)), 6)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The written table, or None when nothing has been written there yet."""
-    if not _exists(spark, path):
-        return None
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # folder without data files (an iteration that produced no rows)
-        return None
-
-
 def resume_point(spark: SparkSession, metrics_path: str, run_id: str) -> tuple[int, bool]:
     """PIP-27: (last finished iteration, run finished?) — from the metrics table, which is written
     last in every iteration; a run is finished once an iteration found nothing left to classify."""
-    m = _read(spark, metrics_path)
+    m = read_if_written(spark, metrics_path)
     if m is None:
         return 0, False
     r = (m.filter(F.col("run_id") == run_id)
@@ -60,28 +45,35 @@ def resume_point(spark: SparkSession, metrics_path: str, run_id: str) -> tuple[i
 def converge(spark: SparkSession, items: DataFrame, key_col: str, vec_col: str,
              macro_c: DataFrame, macro_id: str, cat_c: DataFrame, cat_id: str,
              run_id: str | None = None, base_path: str | None = None, batch_size: int | None = None,
-             max_iterations: int = 200, macro_auto: float = 0.90, category_auto: float = 0.75,
+             max_iterations: int | None = None, macro_auto: float = 0.90, category_auto: float = 0.75,
              cat_bounds: tuple[float, float] = (0.50, 0.80), seed: int = 42) -> DataFrame:
     """PIP-26: classify unlabelled rows batch by batch until none is left.
 
     unlabelled = items ∖ staged ∖ queued (two anti joins); batch = the first ``batch_size`` by a
     seeded hash order (pin D7); auto rows -> staging, the rest -> review queue; a metrics row per
-    iteration (SNK-12); the category threshold adapts from the auto rate (PIP-25).
+    iteration (SNK-12); the category threshold adapts from the auto rate (PIP-25). A resumed run goes
+    on with the threshold that its last metrics row leads to. ``max_iterations`` (default: none) stops
+    earlier; what is then neither staged nor queued is still unlabelled.
     Returns the metrics table (read back from storage).
     """
     run_id = run_id or uuid.uuid4().hex[:8]
     base = base_path or scratch_path(spark, f"loop/{run_id}")
     stg, que, met = f"{base}/staging", f"{base}/review_queue", f"{base}/metrics"
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     items = items.select(key_col, vec_col)
     if batch_size is None:   # whole table in a handful of iterations (the count is a one-row aggregate)
         batch_size = max(1, -(-items.count() // 4))
     thr = category_auto
     last, finished = resume_point(spark, met, run_id)
-    for it in range(last + 1, max_iterations + 1 if not finished else last + 1):
+    if last:
+        m = read_if_written(spark, met).filter((F.col("run_id") == run_id) & (F.col("iteration") == last)).first()
+        if m["batch_size"]:
+            thr = adapt_threshold(m["auto_assigned"] / m["batch_size"], m["threshold"], *cat_bounds)
+    for it in () if finished else itertools.count(last + 1):
+        if max_iterations is not None and it > max_iterations:
+            break
         pending = items
         for path in (stg, que):
-            done = _read(spark, path)
+            done = read_if_written(spark, path)
             if done is not None:
                 # only earlier iterations: a re-run of iteration `it` rebuilds the very same batch
                 prior = done.filter((F.col("run_id") == run_id) & (F.col("iteration") < it)).select(key_col)
@@ -96,14 +88,14 @@ def converge(spark: SparkSession, items: DataFrame, key_col: str, vec_col: str,
          .select(key_col, F.col("top_categoria").alias("id_categoria"),
                  F.lit("embedding_hierarchical_convergence").alias("metodo"),
                  F.col("similitud").alias("confianza"), "run_id", "iteration")
-         .write.mode("overwrite").partitionBy("run_id", "iteration").parquet(stg))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "iteration").parquet(stg))
         (scored.filter(F.col("decision") == "review")
          .select(key_col, "razon", "top_macro", "similitud_macro", "top_categoria", "similitud",
                  F.lit("pendiente").alias("estado"), "run_id", "iteration")
-         .write.mode("overwrite").partitionBy("run_id", "iteration").parquet(que))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "iteration").parquet(que))
         counts = []
         for path in (stg, que):
-            d = _read(spark, path)
+            d = read_if_written(spark, path)
             counts.append(0 if d is None else
                           d.filter((F.col("run_id") == run_id) & (F.col("iteration") == it)).count())
         n_auto, n_rev = counts
@@ -112,7 +104,7 @@ def converge(spark: SparkSession, items: DataFrame, key_col: str, vec_col: str,
         row = [(run_id, it, n, n_auto, n_rev, float(thr))]
         (spark.createDataFrame(row, "run_id string, iteration int, batch_size long, auto_assigned long, "
                                     "review_queue long, threshold double")
-         .write.mode("overwrite").partitionBy("run_id", "iteration").parquet(met))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "iteration").parquet(met))
         if n == 0:
             break
         thr = adapt_threshold(n_auto / n, thr, *cat_bounds)

@@ -63,8 +63,9 @@ def items_from_lines(lines: DataFrame, catalog: DataFrame | None = None, file_co
         next_promo.alias("next_line_is_promo"),
         F.when(next_promo, money(F.regexp_extract(n1, r"-([0-9]+[,.][0-9]{2})", 1))).alias("_disc"))
     if catalog is not None:
-        cat = catalog.select(F.regexp_replace("id_producto", "^0+", "").alias("_k"),
-                             F.col("precio").alias("_catalog"))
+        # a price table lists a product per store and week: one row per code, with its mean price
+        cat = (catalog.groupBy(F.regexp_replace("id_producto", "^0+", "").alias("_k"))
+               .agg(F.avg("precio").alias("_catalog")))
         items = (items.withColumn("_k", F.regexp_replace("barcode", "^0+", ""))
                  .join(cat, "_k", "left").drop("_k"))
     else:
@@ -88,7 +89,8 @@ def load_purchases(items: DataFrame, dates: DataFrame, catalog: DataFrame, file_
                    default_confidence: float = 0.90) -> DataFrame:
     """PIP-42: ticket id = md5(file) (SCA-10), date from the header, left match on barcode to the
     catalog (JN-3), default confidence; rows without name or price are gated out (PRJ-13)."""
-    cat = catalog.select(F.col("id_producto").alias("barcode"), F.col("id_producto").alias("id_producto"))
+    # one row per code, or a catalog that repeats codes would repeat purchases
+    cat = catalog.select(F.col("id_producto").alias("barcode"), F.col("id_producto").alias("id_producto")).distinct()
     return (items.join(dates, file_col, "left").join(cat, "barcode", "left")
             .filter(F.col("producto").isNotNull() & (F.col("producto") != "") & F.col("precio_pagado").isNotNull())
             .select(F.md5(F.col(file_col)).alias("ticket_id"), "fecha", "id_producto", "producto",

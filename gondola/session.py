@@ -10,6 +10,7 @@ above the explicit seed/dimension hints are left to Spark's own size check
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,11 +56,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     Read ``spark.checkpoint.dir`` from the session (a cluster names a shared, fault-tolerant
-    path there). Only when it is unset — tests on one machine — take a fresh scratch folder.
+    path there). Only when it is unset in local mode — one machine, as in tests — take a fresh
+    scratch folder; on a cluster a machine-local folder would lose data, so an unset one is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="gondola-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -72,6 +76,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def read_if_written(spark: SparkSession, path: str):
+    """The Parquet table at ``path``, or None when it holds no data file yet. A table that is there
+    but can't be read is an error, not an empty table."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return spark.read.parquet(path)
+    return None
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin ``df`` over the cluster when its scan yields fewer partitions than the default
     parallelism (e.g. one large row group), before a CPU-heavy narrow stage (tokenising, n-grams).

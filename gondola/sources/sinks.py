@@ -23,12 +23,10 @@ def append_table(spark: SparkSession, df: DataFrame, name: str) -> None:
         df.write.saveAsTable(name)
         return
     cur = spark.table(name)
-    if [c for c in df.columns if c not in cur.columns]:
-        tmp = f"{name}__v_next"
-        cur.unionByName(df, allowMissingColumns=True).write.mode("overwrite").saveAsTable(tmp)
-        spark.sql(f"DROP TABLE {name}")
-        spark.sql(f"ALTER TABLE {tmp} RENAME TO {name}")
-        return
+    new = [f for f in df.schema.fields if f.name not in cur.columns]
+    if new:   # a change of metadata only: old rows read the new columns as null
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
+        cur = spark.table(name)
     types = {f.name: f.dataType for f in cur.schema.fields}
     aligned = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c)
                           for c in cur.columns])

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gondola.session import read_if_written
+
 DATE_RE = r"(\d{4}-\d{2}-\d{2})"
 
 PRODUCT_COLUMNS = ["id_comercio", "id_sucursal", "id_producto", "productos_descripcion",
@@ -56,11 +58,10 @@ def classify_stream(stream: DataFrame, key_col: str, vec_col: str, staging_path:
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         fresh = batch
-        try:
-            done = spark.read.parquet(staging_path).filter(F.col("batch_id") < batch_id).select(key_col)
+        staged = read_if_written(spark, staging_path)
+        if staged is not None:
+            done = staged.filter(F.col("batch_id") < batch_id).select(key_col)
             fresh = fresh.join(done, key_col, "left_anti")
-        except Exception:  # nothing staged yet
-            pass
         # one folder per micro-batch: a replayed batch overwrites exactly its own output
         classify(fresh).write.mode("overwrite").parquet(f"{staging_path}/batch_id={batch_id}")
 

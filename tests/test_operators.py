@@ -201,3 +201,44 @@ def test_discounts_by_code_sum_before_join(spark):
     got = {r.product_id: (r.descuento, r.precio_base) for r in
            receipts.attach_discounts_by_code(items, disc).collect()}
     assert got == {"0000000001": (15.5, 115.5), "0000000002": (0.0, 50.0)}
+
+
+def test_barcode_match_regards_all_names_blocks_and_long_codes(spark):
+    """A code with names of different length is settled by its longest name; a name pairs inside its own
+    block word only; codes over 14 characters are matched whole; repeated catalog rows count once."""
+    from gondola.operators.barcodes import barcode_candidates
+
+    cols_p = "purchase_name string, purchase_barcode string, purchase_price double"
+    cols_c = "sepa_name string, sepa_barcode string, sepa_price double"
+    p = spark.createDataFrame([("GOLD RICE", "1000001", 1.0), ("GOLD RICE LONG", "1000001", 1.0),
+                               ("RICE BLUE", "2000001", 1.0), ("GOLD BLUE RICE", "2000001", 1.0),
+                               ("CORN OILS", "1234567890123456X", 1.0)], cols_p)
+    c = spark.createDataFrame([("GOLD RICE", "1000002", 1.0), ("GOLD RICE LONG", "1000034", 1.0),
+                               ("GOLD BLUE", "2000002", 1.0), ("CORN OILS", "1234567890123456Y", 2.0),
+                               ("CORN OILS", "1234567890123456Y", 4.0)], cols_c)
+    got = {r.purchase_barcode: r for r in barcode_candidates(p, c).collect()}
+    assert got["1000001"].corrected_barcode == "1000034" and got["1000001"].barcode_distance == 2
+    assert got["2000001"].purchase_name == "GOLD BLUE RICE"
+    assert got["1234567890123456X"].corrected_barcode == "1234567890123456Y"
+    assert got["1234567890123456X"].sepa_price == 3.0
+
+
+def test_repeated_catalog_codes_do_not_repeat_purchases(spark):
+    from gondola.operators.receipts import load_purchases
+
+    items = spark.createDataFrame([("t1", "RICE", "111", 2.0, 2.0, 0.0)],
+                                  "file string, producto string, barcode string, precio_pagado double, precio_base double, descuento double")
+    dates = spark.createDataFrame([("t1", "2024-01-01")], "file string, fecha string")
+    catalog = spark.createDataFrame([("111", "RICE", 1.0), ("111", "RICE", 3.0)], "id_producto string, producto string, precio double")
+    assert load_purchases(items, dates, catalog).count() == 1
+
+
+def test_unreadable_staging_fails_instead_of_reading_as_empty(spark, tmp_path):
+    import pytest
+    from gondola.session import read_if_written
+
+    assert read_if_written(spark, str(tmp_path / "none")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        read_if_written(spark, str(tmp_path / "bad")).count()
