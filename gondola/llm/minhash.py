@@ -35,7 +35,7 @@ BITS = 512
 #: Candidates estimated this far below the threshold (six sigma) are dropped.
 SLACK = 0.24
 #: Rows of a bucket compared at once, block by block.
-BLOCK = 256
+BLOCK = 512
 SEEDS = np.random.Generator(np.random.PCG64(99)).integers(1, 2**63, size=(2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
