@@ -67,14 +67,16 @@ def mix_sources(df: DataFrame, levels: dict[str, Column], tokens: Column, weight
     left together. Rows without tokens cost nothing: they come with every whole epoch, and with a
     prefix when their place in the order lies before its end. An empty table gives an empty result.
     """
-    names = list(levels)
+    given = list(levels)
+    names = [f"level_{i}" for i in range(len(given))]  # the caller's names might clash with columns below
+    weights = {n: (weights or {}).get(g, {}) for n, g in zip(names, given)}
     row = F.struct(*[F.col(c) for c in df.columns]).alias("row")
-    keyed = df.select(row, *[F.coalesce(c.cast("string"), F.lit("?")).alias(k) for k, c in levels.items()],
+    keyed = df.select(row, *[F.coalesce(c.cast("string"), F.lit("?")).alias(k) for k, c in zip(names, levels.values())],
                       F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens"), F.col(id_col).alias("key"))
     # the texts are read once for their lengths; everything up to the leaf plan works on this narrow table
     narrow = written(keyed.select(*names, "n_tokens", "key"), "mix-lengths")
     leaves = narrow.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
-    plan = leaf_budgets(leaves, names, weights or {}, fraction, max_epochs)
+    plan = leaf_budgets(leaves, names, weights, fraction, max_epochs)
     plan = plan.withColumn("whole", F.expr("case when tokens = 0 then 0 else budget div tokens end"))
     plan = written(plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")), "mix-budgets")
     small = plan.count() <= BROADCAST_LEAVES
@@ -100,5 +102,5 @@ def mix_sources(df: DataFrame, levels: dict[str, Column], tokens: Column, weight
     more = (F.col("whole") < max_epochs) & (F.col("rest") > 0) & (F.col("end_h").isNull() | (h < F.col("end_h")))
     chosen = with_plan(keyed, plan).withColumn("copies", F.col("whole") + more.cast("long"))
     return chosen.where("copies > 0").select(
-        "row", *names, "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("epoch"),
+        "row", *[F.col(n).alias(g) for n, g in zip(names, given)], "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("epoch"),
         F.col("tokens").alias("leaf_tokens"), F.col("budget").alias("leaf_budget"))
