@@ -94,3 +94,14 @@ def remap_values(target: DataFrame, col: str, mapping: DataFrame, old: str = "ol
     return (target.join(m, F.col(col) == F.col("_old"), "left")
             .withColumn(col, F.coalesce(F.col("_new"), F.col(col)))
             .select(*target.columns))
+
+
+def merge_by_priority(sources: Sequence[DataFrame], key: str, order: Sequence[Column]) -> DataFrame:
+    """PIP-50: one row per key out of several mappings with the same columns: an earlier source wins, within
+    a source the first row by ``order``. Rows with a null key form one group."""
+    tagged = [d.withColumn("_source", F.lit(i)) for i, d in enumerate(sources)]
+    every = tagged[0]
+    for d in tagged[1:]:
+        every = every.unionByName(d)
+    w = Window.partitionBy(key).orderBy("_source", *order)
+    return every.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_source")

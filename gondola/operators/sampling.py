@@ -1,4 +1,4 @@
-"""Deterministic sampling (ORD-4, ORD-5, ORD-6, SCA-27; pin D7).
+"""Deterministic sampling and rank slices (ORD-3, ORD-4, ORD-5, ORD-6, SCA-27; pin D7).
 
 Random order is a seeded hash of the key — the same rows on every run, every engine and after
 any executor loss (``rand()`` would reshuffle on recomputation). ``limit`` here is the feature
@@ -7,7 +7,9 @@ any executor loss (``rand()`` would reshuffle on recomputation). ``limit`` here
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,3 +26,11 @@ def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) ->
     """ORD-5: Bernoulli-like fraction by hash bucket (first 32 bits of the md5 as an integer)."""
     bucket = F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("long")
     return df.filter(bucket < F.lit(int(fraction * 2 ** 32)))
+
+
+def rank_slice(df: DataFrame, order: Sequence[Column], first: int, last: int) -> DataFrame:
+    """ORD-3: rows ranked ``first`` to ``last`` of the given total order, with their ``rank``. The top ``last``
+    rows are found per partition first (top-k), so the window sees ``last`` rows."""
+    top = df.orderBy(*order).limit(last)
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
+    return ranked.filter(F.col("rank") >= first)

@@ -23,7 +23,7 @@ def _enriched(t):
     return prices.enrich_prices(silver_best_store(t), _full_mapping(t), S.categories_df(t.spark))
 
 
-@register("gold_enriched", _BASE + "SELECT * FROM enriched", ids="PIP-50 JN-20 SET-1")
+@register("gold_enriched", _BASE + "SELECT * FROM enriched", ids="JN-20")
 def gold_enriched(t):
     return _enriched(t)
 

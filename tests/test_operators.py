@@ -242,3 +242,24 @@ def test_unreadable_staging_fails_instead_of_reading_as_empty(spark, tmp_path):
     (tmp_path / "bad" / "part-0.parquet").write_bytes(b"not parquet")
     with pytest.raises(Exception):
         read_if_written(spark, str(tmp_path / "bad")).count()
+
+
+def test_merge_by_priority_and_final_categories(spark):
+    from gondola.operators import mutate, vectors
+    a = spark.createDataFrame([("x", 1, 0.8)], "id_producto string, id_categoria long, confianza double")
+    b = spark.createDataFrame([("x", 2, 0.9), ("y", 3, 0.4), ("y", 4, 0.7)], a.schema)
+    out = mutate.merge_by_priority([a, b], "id_producto", [F.col("confianza").desc()])
+    assert {(r.id_producto, r.id_categoria) for r in out.collect()} == {("x", 1), ("y", 4)}
+    cats = spark.createDataFrame([(1, "a"), (2, "_OLD_b"), (3, "_DELETED_c"), (4, "sin_clasificar"), (5, "e")], "id_categoria long, nombre string")
+    m = spark.createDataFrame([("p", 1, None), ("q", 1, 5), ("r", 2, None), ("s", 3, None), ("t", 4, None), ("u", 5, 2), ("v", None, None), ("w", 99, None)],
+                              "id_producto string, id_categoria long, id_subcategoria long")
+    got = {(r.id_producto, r.id_categoria_final) for r in vectors.final_categories(m, cats).collect()}
+    assert got == {("p", 1), ("q", 5)}
+
+
+def test_rank_slice(spark):
+    from gondola.operators.sampling import rank_slice
+    df = spark.range(20).select((F.col("id") % 7).alias("k"), "id")
+    got = [(r.rank, r.k, r.id) for r in rank_slice(df, [F.col("k").desc(), F.col("id").asc()], 3, 5).orderBy("rank").collect()]
+    assert got == [(3, 5, 5), (4, 5, 12), (5, 5, 19)]
+    assert rank_slice(df.limit(2), [F.col("id").asc()], 3, 5).count() == 0
