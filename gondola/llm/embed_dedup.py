@@ -26,6 +26,8 @@ PROBES = 6
 #: Rows at most that the cells are fitted on (smallest hashes of the id).
 SAMPLE = 16_384
 ROUNDS = 8
+#: Vector lengths at most; a table with more is refused, as nothing may be left out.
+MAX_LENGTHS = 1000
 
 
 def _unit(rows: list) -> np.ndarray:
@@ -140,7 +142,9 @@ def embedding_dedup(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))).where(
         F.exists("vector", lambda x: x != 0))
     vectors = written(good.groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")), "cells-vectors")
-    lengths = [r[0] for r in vectors.select(F.size("vector")).distinct().limit(1000).collect()]
+    lengths = [r[0] for r in vectors.select(F.size("vector")).distinct().limit(MAX_LENGTHS + 1).collect()]
+    if len(lengths) > MAX_LENGTHS:
+        raise ValueError(f"more than {MAX_LENGTHS} vector lengths; each gets cells of its own")
     edges = good.join(vectors.select(F.col("vector"), F.col("id").alias("a"), "weight"), "vector").where("id <> a or weight > 1").select(
         F.col("a"), F.col("id").alias("b"), "weight")
     edges = written(edges, "cells-copies")
