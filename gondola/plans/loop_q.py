@@ -249,7 +249,7 @@ QBASE = with_(CATALOG_PRODUCTS, CATEGORIES_SQL, STAGED_SQL, QUEUE_SQL)
 
 @register("review_inspect", QBASE + """
 SELECT llm_sugerencia, es_categoria_nueva, count(*) AS n, list(producto ORDER BY producto, id_producto)[1:5] AS ejemplos
-FROM queue WHERE estado = 'pendiente' GROUP BY llm_sugerencia, es_categoria_nueva""", ids="PIP-32 AGG-12 ORD-1")
+FROM queue WHERE estado = 'pendiente' GROUP BY llm_sugerencia, es_categoria_nueva""", ids="PIP-32 AGG-12")
 def review_inspect(t):
     return review.inspect(_queue(t), 5)
 
