@@ -150,7 +150,7 @@ def test_barcode_candidates_match_brute_force(spark):
     assert got == want
 
 
-def test_nearest_paths_agree_with_brute_force(spark):
+def test_nearest_agrees_with_brute_force_whatever_the_blocks(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     lab = docs.filter(F.col("doc_id") % 2 == 0).withColumn("tid", propagate.text_key())
     unl = docs.filter(F.col("doc_id") % 2 == 1).withColumn("tid", propagate.text_key())
@@ -158,9 +158,13 @@ def test_nearest_paths_agree_with_brute_force(spark):
     vocab = propagate.fit_idf(cl, 500)
     wl, wu = propagate.tfidf(cl, vocab), propagate.tfidf(cu, vocab)
     tau = 0.5
-    a = {(r.u, r.l, round(r.sim, 9)) for r in propagate._nearest_prefix_join(wu, wl, tau).collect()}
-    b = {(r.u, r.l, round(r.sim, 9)) for r in propagate._nearest_broadcast(wu, wl, vocab, tau).collect()}
+    vl, vu = propagate.vectors_of(cl, vocab), propagate.vectors_of(cu, vocab)
+    n = vocab.count()
+    a = {(r.u, r.l, r.sim) for r in propagate.nearest_labelled(vu, vl, n, 100, 100, tau).collect()}
+    b = {(r.u, r.l, r.sim) for r in propagate.nearest_labelled(vu, vl, n, 100, 100, tau, unlabelled_block=34, labelled_block=30).collect()}
     assert a == b
+    # no labelled text at all: nothing is near
+    assert propagate.nearest_labelled(vu, vl.limit(0), n, 100, 0, tau).count() == 0
     # brute force over all pairs
     L, U = {}, {}
     for r in wl.collect():
