@@ -72,19 +72,17 @@ def products_per_category(mapping: DataFrame, categories: DataFrame) -> DataFram
 def taxonomy_rollup(mapping: DataFrame, categories: DataFrame, macros: DataFrame) -> DataFrame:
     """PIP-54: per macro — categories (level 1), products, distinct sub-categories in use.
 
-    Mapping is pre-aggregated per category before the star of left joins (JN-15)."""
+    Mapping is pre-aggregated per (category, subcategory) before the star of left joins (JN-15), so a
+    macro's subcategories are counted over distinct rows and never held as one array."""
     per_cat = (mapping.filter(F.col("id_categoria").isNotNull())
-               .groupBy("id_categoria")
-               .agg(F.count(F.lit(1)).alias("n_prod"),
-                    F.collect_set("id_subcategoria").alias("subs")))
+               .groupBy("id_categoria", "id_subcategoria").agg(F.count(F.lit(1)).alias("n_prod")))
     lvl1 = categories.filter(F.col("nivel") == 1).select("id_categoria", "id_macro")
     cat_stats = lvl1.join(per_cat, "id_categoria", "left")
     return (macros.join(cat_stats, "id_macro", "left")
             .groupBy("id_macro", F.col("nombre").alias("macro"))
-            .agg(F.count("id_categoria").alias("categorias"),
+            .agg(F.count_distinct("id_categoria").alias("categorias"),
                  F.coalesce(F.sum("n_prod"), F.lit(0)).cast("long").alias("productos"),
-                 F.size(F.array_distinct(F.flatten(F.collect_list(F.coalesce("subs", F.array()))))).cast("long")
-                 .alias("subcategorias_usadas")))
+                 F.count_distinct("id_subcategoria").alias("subcategorias_usadas")))
 
 
 def metric_stack(mapping: DataFrame) -> DataFrame:
