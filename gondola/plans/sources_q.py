@@ -80,9 +80,10 @@ def parse_status(t):
     return formats.parse_status(per_user, "user_id", "err").join(per_user.select("user_id", "n_events"), "user_id")
 
 
-@register("html_links", """
-SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS link_pos, unnest(l) AS href
-FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)""", ids="SRC-7 SCA-6")
+@register("html_links", r"""
+SELECT page_id, link_pos, substr(q, 2, length(q) - 2) AS href
+FROM (SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS link_pos, unnest(l) AS q
+      FROM (SELECT page_id, regexp_extract_all(html, '(?i)href\s*=\s*("[^"]*"|''[^'']*'')', 1) AS l FROM pages))""", ids="SRC-7 SCA-6")
 def html_links(t):
     return formats.html_links(t.pages)
 

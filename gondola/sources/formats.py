@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from gondola.functions.text import email_ok
 
-HREF_RE = r'href="([^"]*)"'
+# an href in any letter case, its value with either kind of quotes
+HREF_RE = r"""(?i)href\s*=\s*("[^"]*"|'[^']*')"""
 
 # Receipt answer schema (A7): header fields + items.
 RECEIPT_SCHEMA = ("struct<fecha:string,comercio:string,productos:array<struct<producto:string,cantidad:double,"
@@ -40,9 +41,10 @@ def variant_elements(docs: DataFrame, id_col: str, variant_col: str) -> DataFram
 
 def html_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """SRC-7 (list form): every ``href`` of a page in document order."""
-    return (pages.select(id_col, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(HREF_RE), 1))
-                         .alias("link_pos", "href"))
-            .withColumn("link_pos", F.col("link_pos").cast("int")))
+    quoted = F.regexp_extract_all(F.col(html_col), F.lit(HREF_RE), 1)
+    return (pages.select(id_col, F.posexplode(quoted).alias("link_pos", "href"))
+            .select(id_col, F.col("link_pos").cast("int").alias("link_pos"),
+                    F.expr("substring(href, 2, length(href) - 2)").alias("href")))
 
 
 def block_download_links(pages: DataFrame, label: str, id_col: str = "page_id",
