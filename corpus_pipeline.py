@@ -18,6 +18,9 @@ from gondola.llm.minhash import near_dedup
 from gondola.llm.mixing import mix_sources
 from gondola.llm.quality import classify
 
+#: Words of a shingle in the near-dedup stage; op9 has its own rule of four.
+MINHASH_SHINGLE = 5
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject, as they are."""
@@ -34,8 +37,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates, the one with the smallest id."""
-    dropped = near_dedup(docs).where("not kept").select(F.col("id").alias("doc_id"))
+    """One document of each component of near duplicates (0.8 of the five-word shingles), the one with the smallest id."""
+    dropped = near_dedup(docs, shingle=MINHASH_SHINGLE).where("not kept").select(F.col("id").alias("doc_id"))
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 

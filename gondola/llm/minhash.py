@@ -81,45 +81,52 @@ def estimate(odd: np.ndarray) -> np.ndarray:
     return 1 + BITS / (4.0 * BANDS * ROWS) * np.log1p(-share)
 
 
-def _signatures(batches):
-    for batch in batches:
-        ids, done = batch.column(0), 0
-        pend: list[np.ndarray] = []
-
-        def flush():
-            nonlocal pend, done
-            full = [s for s in pend if len(s)]
-            n = len(pend)
-            prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in pend]
-            bands: list = [None] * n
-            sketch: list = [None] * n
-            if full:
-                sig = samples(full)
-                keys = np.empty((len(full), BANDS), np.uint64)
-                for b in range(BANDS):
-                    keys[:, b] = chain_rows(sig[:, b * ROWS:(b + 1) * ROWS], b)
-                sk = odd_sketch(sig)
-                at = [i for i, s in enumerate(pend) if len(s)]
-                for x, i in enumerate(at):
-                    bands[i] = keys[x].view(np.int64)
-                    sketch[i] = sk[x].tobytes()
-            out = pa.RecordBatch.from_arrays([
-                ids.slice(done, n).cast(pa.int64()), pa.array([len(s) for s in pend], pa.int64()),
-                pa.array(prints, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                names=["id", "n", "print", "bands", "sketch"])
-            done += n
-            pend = []
-            return out
-
-        size = 0
-        for s in shingle_sets(batch.column(1)):
-            pend.append(s)
-            size += len(s)
-            if size > 1 << 18:
-                yield flush()
-                size = 0
-        if pend:
+def _signatures(k: int):
+    def run(batches):
+        for batch in batches:
+            yield from _signed(batch, k)
+
+    return run
+
+
+def _signed(batch, k: int):
+    ids, done = batch.column(0), 0
+    pend: list[np.ndarray] = []
+
+    def flush():
+        nonlocal pend, done
+        full = [s for s in pend if len(s)]
+        n = len(pend)
+        prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in pend]
+        bands: list = [None] * n
+        sketch: list = [None] * n
+        if full:
+            sig = samples(full)
+            keys = np.empty((len(full), BANDS), np.uint64)
+            for b in range(BANDS):
+                keys[:, b] = chain_rows(sig[:, b * ROWS:(b + 1) * ROWS], b)
+            sk = odd_sketch(sig)
+            at = [i for i, s in enumerate(pend) if len(s)]
+            for x, i in enumerate(at):
+                bands[i] = keys[x].view(np.int64)
+                sketch[i] = sk[x].tobytes()
+        out = pa.RecordBatch.from_arrays([
+            ids.slice(done, n).cast(pa.int64()), pa.array([len(s) for s in pend], pa.int64()),
+            pa.array(prints, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+            names=["id", "n", "print", "bands", "sketch"])
+        done += n
+        pend = []
+        return out
+
+    size = 0
+    for s in shingle_sets(batch.column(1), k):
+        pend.append(s)
+        size += len(s)
+        if size > 1 << 18:
             yield flush()
+            size = 0
+    if pend:
+        yield flush()
 
 
 def chain_rows(sig: np.ndarray, band: int) -> np.ndarray:
@@ -129,14 +136,14 @@ def chain_rows(sig: np.ndarray, band: int) -> np.ndarray:
     return out
 
 
-def _confirm(threshold: tuple[int, int]):
+def _confirm(threshold: tuple[int, int], k: int):
     """Keep the pairs (a, b, ta, tb) whose full shingle sets reach the threshold."""
     num, den = threshold
 
     def run(batches):
         for batch in batches:
             keep = []
-            left, right = shingle_sets(batch.column(2)), shingle_sets(batch.column(3))
+            left, right = shingle_sets(batch.column(2), k), shingle_sets(batch.column(3), k)
             for x, y in zip(left, right):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and den * both >= num * (len(x) + len(y) - both))
@@ -184,7 +191,7 @@ def _best_partner(floor: float):
     return run
 
 
-def _decide_block(floor: float, threshold: tuple[int, int]):
+def _decide_block(floor: float, threshold: tuple[int, int], k: int):
     """Links by full sets that merge components of a block pair."""
     num, den = threshold
 
@@ -203,7 +210,7 @@ def _decide_block(floor: float, threshold: tuple[int, int]):
 
         def full(i):
             if i not in sets:
-                sets[i] = next(shingle_sets(texts.slice(i, 1).combine_chunks()))
+                sets[i] = next(shingle_sets(texts.slice(i, 1).combine_chunks(), k))
             return sets[i]
 
         a, b = [], []
@@ -237,12 +244,13 @@ def _decide_block(floor: float, threshold: tuple[int, int]):
     return run
 
 
-def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (80, 100)) -> DataFrame:
+def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (80, 100),
+               shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``df``: ``id``, ``n_shingles`` (size of its set), ``component_id`` (smallest
     id reachable by links, itself included) and ``kept`` (id = component_id).
 
-    Two rows are linked when den * intersection >= num * union of their shingle sets, for
-    ``threshold`` = (num, den). A null or empty text, or one without words, has an empty set and links with
+    Two rows are linked when den * intersection >= num * union of their sets of ``shingle``-word
+    shingles, for ``threshold`` = (num, den). A null or empty text, or one without words, has an empty set and links with
     nothing. Rows that share an id share a component, and all of them are kept when the id is; a row
     without an id takes no part: its component_id is null and kept is true. An empty table gives an
     empty result; extra columns are ignored. Where rows of one id hold different texts, a link of any of
@@ -251,7 +259,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     num, den = threshold
     floor = num / den - SLACK
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = written(spread_scan(src).mapInArrow(_signatures, "id long, n long, print binary, bands array<long>, sketch binary"), "minhash-sets")
+    sets = written(spread_scan(src).mapInArrow(_signatures(shingle), "id long, n long, print binary, bands array<long>, sketch binary"), "minhash-sets")
     named = sets.where("id is not null and n > 0")
     classes = written(named.groupBy("print").agg(F.min("id").alias("rep"), F.min_by(F.struct("bands", "sketch"), "id").alias("s"),
                                                  F.min("n").alias("n")), "minhash-classes")
@@ -268,7 +276,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     def confirmed(pairs: DataFrame) -> DataFrame:
         return pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
             texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInArrow(
-            _confirm(threshold), "a long, b long")
+            _confirm(threshold, shingle), "a long, b long")
 
     def open_rows(labels: DataFrame) -> DataFrame:
         """Members of buckets that still span components, dealt to pairs of blocks."""
@@ -295,7 +303,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     rows = written(open_rows(labels), "minhash-open")
     still = texts.join(rows.select("id").distinct(), "id", "left_semi")
     rows = rows.join(reps.select("id", "sketch", "bands"), "id").join(still, "id")
-    rest = rows.groupBy("key", "bi", "bj").applyInArrow(_decide_block(floor, threshold), "a long, b long")
+    rest = rows.groupBy("key", "bi", "bj").applyInArrow(_decide_block(floor, threshold, shingle), "a long, b long")
     labels = components(written(links.union(rest), "minhash-links"))
     return sets.join(labels, sets.id == labels.node, "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id"),

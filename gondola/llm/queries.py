@@ -159,7 +159,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) ->
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("id", "doc_id")
+    return near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4).withColumnRenamed("id", "doc_id")
 
 
 OP9_SQL = r"""

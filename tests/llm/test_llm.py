@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from conftest import SF_SMALL
 from oracle_check import compare
 
@@ -161,3 +162,14 @@ def test_empty_tables(spark, name):
         "urls": lambda: filter_urls(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "key long, bad int")),
         "pages": lambda: extract_main(spark.createDataFrame([], "page_id long, url string, html string"))}[name]()
     assert out.count() == 0
+
+
+def test_pipeline_dedups_by_five_word_shingles(spark):
+    words = [f"w{i}" for i in range(200)]
+    five = [w + "x" if i in (20, 60, 100, 140, 180) else w for i, w in enumerate(words)]   # 0.816 of 4-word sets, 0.774 of 5-word sets
+    two = [w + "x" if i in (20, 60) else w for i, w in enumerate(words)]   # 0.907 of 5-word sets
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(five))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.minhash(spark, docs, SF_SMALL).collect()) == [1, 2]
+    assert sorted((r.id, r.kept) for r in near_dedup(docs, shingle=4).collect()) == [(1, True), (2, False)]
+    close = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(two))], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.minhash(spark, close, SF_SMALL).collect()] == [1]
