@@ -1,9 +1,11 @@
 """Main text of HTML pages by consensus host paths.
 
-Every page's containers are scored by the text of their paragraphs without links. The best
-container's generalised tag-class path (digits become ``#``) is the page's vote, votes are summed per
-host in Spark, and every page is extracted again from the container on one of its host's winning
-paths; a page that has none of them keeps its own best container.
+Every page's containers are scored by the text of their paragraphs without links. From the best one
+the page climbs to the whole article: the outermost ``article`` or ``main`` around it, else the lowest
+container of all paragraphs. Its generalised tag-class path (digits become ``#``) is the page's vote,
+votes are summed per host in Spark, and every page is extracted again from all containers on its own
+path when that is a winning path of its host, else on the strongest winning path that it has; a page
+that has none of them keeps its own.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
              "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _CONTAINER = set("article main section div body td center details blockquote".split())
+#: Blocks whose text counts as a paragraph however short; text straight in another block counts from PROSE_WORDS words on.
+_PARAGRAPH = set("p pre blockquote h1 h2 h3 h4 h5 h6 li dt dd td th figcaption caption summary article main section".split())
+PROSE_WORDS = 10
 _CLOSES_P = _BLOCK - {"body", "html", "head"}
 _DROP = set("head nav footer aside form menu button select option label fieldset dialog input".split())
 #: Words of a class, id or role that mark what isn't the article.
@@ -170,41 +175,63 @@ class Page:
             elif t in _BLOCK and (t in stop or not ends):
                 return
 
+    def _up(self, e: int) -> list[int]:
+        """An element and its ancestors, the innermost first."""
+        up = []
+        while e >= 0:
+            up.append(e)
+            e = self.parent[e]
+        return up
+
     def scores(self) -> dict[int, float]:
-        """Text of a container's paragraphs without links: whole for the nearest container, half for the next."""
+        """Text of a container's paragraphs without links: whole for the nearest container, half for each next."""
         got: dict[int, float] = {}
         for e, text, link in self.blocks:
             if self.out[e]:
                 continue
             worth = len(text) - 2 * link
-            share, seen = 1.0, 0
-            while e >= 0 and seen < 2:
-                if self.tag[e] in _CONTAINER:
-                    got[e] = got.get(e, 0) + worth * share * (1.2 if self.tag[e] in ("article", "main") else 1)
-                    share, seen = share / 2, seen + 1
-                e = self.parent[e]
+            share = 1.0
+            for up in self._up(e):
+                if self.tag[up] in _CONTAINER:
+                    got[up] = got.get(up, 0) + worth * share * (1.2 if self.tag[up] in ("article", "main") else 1)
+                    share /= 2
         return got
 
-    def best(self, paths: list[str] | None = None) -> int | None:
-        """The best container, on the first of ``paths`` that the page has."""
+    def _whole(self, best: int) -> int:
+        """The container of the whole article around the best one: the outermost article or main, else
+        the lowest that holds every paragraph too."""
+        marked = [e for e in self._up(best) if self.tag[e] in ("article", "main")]
+        if marked:
+            return marked[-1]
+        common = self._up(best)
+        for e, text, link in self.blocks:
+            if not self.out[e] and len(text) > 2 * link and (self.tag[e] in _PARAGRAPH or text.count(" ") + 1 >= PROSE_WORDS):
+                up = set(self._up(e))
+                common = [x for x in common if x in up]
+        return next((e for e in common if self.tag[e] in _CONTAINER), 0)
+
+    def best(self, paths: list[str] | None = None) -> list[int] | None:
+        """The containers of the article, the voted one first: all on the page's own path when it is one of
+        ``paths`` (or the page has none of them), else all on the first of ``paths`` that the page has."""
         got = self.scores()
-        for p in paths or []:
-            on = {e: x for e, x in got.items() if self.path[e] == p and x > 0}
-            if on:
-                return max(on, key=lambda e: (on[e], -e))
-        return max(got, key=lambda e: (got[e], -e)) if got else None
-
-    def text(self, container: int | None) -> str:
-        parts = []
-        for e, text, _ in self.blocks:
-            if self.out[e]:
-                continue
-            up = e
-            while up >= 0 and up != container:
-                up = self.parent[up]
-            if container is None or up == container:
-                parts.append(text)
-        return " ".join(parts)
+        if not got:
+            return None
+        own = self._whole(max(got, key=lambda e: (got[e], -e)))
+        path = self.path[own]
+        if paths and path not in paths:
+            on = {self.path[e] for e, x in got.items() if x > 0}
+            path = next((p for p in paths if p in on), path)
+        first = [own] if self.path[own] == path else []
+        found = first + [e for e in range(len(self.tag)) if e != own and self.path[e] == path and (self.tag[e] in _CONTAINER or e == 0)]
+        if first and self.tag[own] in ("article", "main"):  # articles side by side may differ in class
+            found += [e for e, x in got.items() if x > 0 and self.tag[e] in ("article", "main") and e not in found]
+        return found
+
+    def text(self, containers: list[int] | None) -> str:
+        """Blocks inside any of the containers, in page order; all blocks for None."""
+        within = None if containers is None else set(containers)
+        return " ".join(text for e, text, _ in self.blocks
+                        if not self.out[e] and (within is None or not within.isdisjoint(self._up(e))))
 
 
 def _vote(batches):
@@ -212,10 +239,10 @@ def _vote(batches):
         hosts, paths = [], []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
-            e = page.best()
-            if e is not None and page.scores()[e] > 0:
+            found = page.best()
+            if found and max(page.scores().values()) > 0:
                 hosts.append(host)
-                paths.append(page.path[e])
+                paths.append(page.path[found[0]])
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string())], names=["host", "path"])
 
 

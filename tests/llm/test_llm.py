@@ -173,3 +173,20 @@ def test_pipeline_dedups_by_five_word_shingles(spark):
     assert sorted((r.id, r.kept) for r in near_dedup(docs, shingle=4).collect()) == [(1, True), (2, False)]
     close = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(two))], "doc_id long, text string")
     assert [r.doc_id for r in corpus_pipeline.minhash(spark, close, SF_SMALL).collect()] == [1]
+
+
+def test_main_text_of_several_sections_and_containers():
+    own = lambda source: (lambda page: page.text(page.best()))(Page(source))
+    long, short = "long words " * 9 + "end", "few words here"
+    assert own(f"<body><article><section><div><p>{short}</div></section><section><div><p>{long}</div></section></article>") == f"{short} {long}"
+    assert own(f"<body><main><div class=a><p>{long}</div><div class=b><p>{short}</div></main>") == f"{long} {short}"
+    assert own(f"<body><div class=a><p>{long}</div><div class=b><p>{short}</div>") == f"{long} {short}"
+    assert own(f"<body><article class=a><p>{long}</article><article class=b><p>{short}</article>") == f"{long} {short}"
+    assert own(f"<body><div class=top>Site</div><div class=post><p>{long}</div><div class=end><ul><li><a href=x>{short}</a></ul></div>") == long
+
+
+def test_host_path_takes_all_its_containers(spark):
+    one, two = "<body><div class=post><p>{0} one</div>", "<body><div class=post><p>{0} one</div><div class=post><p>{0}</div>"
+    rows = [(i, "http://h.org/x", (two if i > 15 else one).format("some words")) for i in range(17)]
+    got = {r.id: r.text for r in extract_main(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "some words one" and got[16] == "some words one some words"
