@@ -40,22 +40,37 @@ _DROP_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor s
                   "notices alert popup modal overlay comment comments reply replies disqus respond sidebar aside menu nav navbar navigation navbox "
                   "breadcrumb breadcrumbs footer header masthead topbar share sharing social related recommended newsletter subscribe signup "
                   "login search widget pagination pager toolbar copyright legal skip".split())
+#: Elements whose id is a slug of their heading.
+_TARGETS = set("h1 h2 h3 h4 h5 h6 section p".split())
+#: An element that may be marked isn't the article when its text has fewer characters and no heading, or is mostly links.
+SHORT = 80
 _SPACE = re.compile(r"\s+")
 _END_RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in _RAW}
 
 
-def _marks(attrs: str) -> tuple[str, bool]:
-    """Generalised class/id part of an element's path, and whether it is marked as not the article."""
-    words, drop = [], False
+def _marks(attrs: str, tag: str, in_article: bool) -> tuple[str, bool, bool]:
+    """Generalised class/id part of an element's path, whether it is marked as not the article, and whether
+    it may be.
+
+    The id of a heading, paragraph or section is a link target and marks nothing. Inside an article a class or
+    id marks when it consists of marker words only; with one marker word among others it may mark.
+    """
+    words, drop, maybe = [], False, False
     for key, value in _CLASS.findall(attrs):
         key, value = key.lower(), html.unescape(value.strip("\"'"))
         if key in ("class", "id", "role"):
             if key != "role":
                 words += value.split()
-            drop |= any(w in _DROP_WORDS for w in re.split(r"[^a-z]+", value.lower()))
+            if key == "id" and tag in _TARGETS:
+                continue
+            for token in value.lower().split():
+                parts = [w for w in re.split(r"[^a-z]+", token) if w]
+                hits = sum(w in _DROP_WORDS for w in parts)
+                drop |= hits > 0 and (not in_article or hits == len(parts))
+                maybe |= hits > 0
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
             drop = True
-    return ".".join(sorted({re.sub(r"[0-9]+", "#", w) for w in words})), drop
+    return ".".join(sorted({re.sub(r"[0-9]+", "#", w) for w in words})), drop, maybe and not drop
 
 
 class Page:
@@ -67,7 +82,9 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []
         self._buf: list[str] = []
         self._link = 0
+        self._maybe: list[int] = []
         self._read(source)
+        self._settle()
 
     def _flush(self, at: int) -> None:
         text = _SPACE.sub(" ", "".join(self._buf)).strip()
@@ -140,19 +157,39 @@ class Page:
                 d = max(i for i, e in enumerate(stack) if self.tag[e] == "a")
                 if not any(self.tag[e] in _BLOCK for e in stack[d:]):
                     close_to(d)
-            marks, drop = _marks(m[3] or "") if m[3] and m[3].strip() else ("", False)
             up = stack[-1]
             in_article = any(self.tag[e] in ("article", "main") for e in stack)
+            marks, drop, maybe = _marks(m[3], tag, in_article) if m[3] and m[3].strip() else ("", False, False)
             self.tag.append(tag)
             self.path.append(f"{self.path[up]}>{tag}.{marks}" if marks and tag in _BLOCK else f"{self.path[up]}>{tag}" if tag in _BLOCK else self.path[up])
             self.parent.append(up)
             self.out.append(self.out[up] or tag in _DROP or drop and tag not in ("html", "body", "article", "main") or tag == "header" and not in_article)
             stack.append(len(self.tag) - 1)
+            if maybe and tag not in ("html", "body", "article", "main"):
+                self._maybe.append(stack[-1])
             if tag == "a":
                 links += 1
             at += 1
         self._flush(self._home(stack))
 
+    def _settle(self) -> None:
+        """Confirm by their text what may be marked as not the article."""
+        if not self._maybe:
+            return
+        size, linked, titled = dict.fromkeys(self._maybe, 0), dict.fromkeys(self._maybe, 0), set()
+        for e, text, link in self.blocks:
+            up = self._up(e)
+            for x in up:
+                if x in size:
+                    size[x] += len(text)
+                    linked[x] += link
+                    if any(re.fullmatch("h[1-6]", self.tag[y]) for y in up[:up.index(x) + 1]):
+                        titled.add(x)
+        for x in self._maybe:
+            self.out[x] |= 2 * linked[x] > size[x] or size[x] < SHORT and x not in titled
+        for e in range(1, len(self.tag)):
+            self.out[e] |= self.out[self.parent[e]]
+
     def _home(self, stack: list[int]) -> int:
         """The innermost block, or the innermost element when that isn't part of the article."""
         e = stack[-1]

@@ -190,3 +190,15 @@ def test_host_path_takes_all_its_containers(spark):
     rows = [(i, "http://h.org/x", (two if i > 15 else one).format("some words")) for i in range(17)]
     got = {r.id: r.text for r in extract_main(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[0] == "some words one" and got[16] == "some words one some words"
+
+
+def test_slug_ids_and_words_inside_classes_stay_in_the_article():
+    own = lambda source: (lambda page: page.text(page.best()))(Page(source))
+    body = "words of the article " * 6 + "end"
+    kept = (f'<body><article><div class="post-header"><h1>Title</h1></div><h2 id="related-work">Related</h2><section id="search-algorithms"><p>{body}</section>'
+            f'<section id="legal-history"><p>{body}</section><div class="banner-years"><p>{body}</div>')
+    assert own(kept) == f"Title Related {body} {body} {body}"
+    gone = ('<div class="related-posts"><h3>More</h3><ul><li><a href=x>another long story</a></ul></div><div class="ad-box">buy</div>'
+            f'<div class="share-social">{body}</div><div class="comments">{body}</div><div id="ad-1">{body}</div><div role="search">{body}</div>')
+    assert own(kept + gone) == own(kept)
+    assert own(f'<body><div class=post><h2 id="related-work">Related</h2><p>{body}</div><div class="my-sidebar">{body}</div>') == f"Related {body}"
