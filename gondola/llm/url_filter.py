@@ -3,7 +3,7 @@
 A path is a list of segments. Segments that look like numbers, hashes or dates become wildcards at
 once; a literal segment becomes ``*`` where its parent template has many children that each see few
 urls. The tree of a host is the set of template prefixes with their labelled counts, built level by
-level from the root. Sibling branches whose share of bad labels can't be told from their parent's by
+level from the root, down to the deepest segment whose counts can still split a branch. Sibling branches whose share of bad labels can't be told from their parent's by
 a two-sided test are merged into one branch; the others stand alone. A branch is rejected when its
 smoothed share of bad labels reaches the threshold. Only counts per template are shuffled by host, each
 combined before the shuffle, so a host with most of the urls is as cheap as any.
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gondola.llm.common import written
 
-#: Levels of the tree; what lies deeper is one last segment ``**``.
+#: Levels that the SQL of op6 spells out, with a last segment ``**`` for what lies deeper; the operator itself takes every level.
 LEVELS = 3
 #: A parent with more literal children than this, of under FEW urls each on average, has variable children.
 MANY, FEW = 20, 3
@@ -71,44 +71,56 @@ def filter_urls(urls: DataFrame, labels: DataFrame, id_col: str = "page_id", url
     number = F.regexp_replace(F.regexp_extract("path", r"([0-9]+)[^0-9]*$", 1), r"^0+(?=[0-9])", "")
     rows = base.withColumn("key", F.nullif(number, F.lit(""))).join(marks, "key", "left").drop("key")
     segs = F.filter(F.split("path", "/"), lambda s: s != "")
-    rows = rows.withColumn("segs", segs)
-    for i in range(1, LEVELS + 1):
-        s = F.get("segs", F.lit(i - 1))
-        rows = rows.withColumn(f"s{i}", F.coalesce(segment_class(s), F.lit("")))
-    rows = rows.withColumn("more", F.when(F.size("segs") > LEVELS, "/**").otherwise("")).drop("segs")
+    rows = rows.withColumn("segs", F.transform(segs, segment_class))
     rows = rows.withColumn("lab", F.col("bad").isNotNull().cast("long")).withColumn("bad", F.coalesce("bad", F.lit(0)))
 
-    # counts per lexical path template; everything below works on these
-    path_cols = ["host", *[f"s{i}" for i in range(1, LEVELS + 1)], "more"]
+    # counts per lexical path template; everything below works on these. A path is an array: ``done`` are its
+    # segments settled so far, ``segs[i]`` is the one at hand, and a path without it is complete.
+    path_cols = ["host", "segs"]
     tree = rows.groupBy(*path_cols).agg(F.count(F.lit(1)).alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad"))
-    tree = written(tree.withColumns({f"t{i}": F.col(f"s{i}") for i in range(1, LEVELS + 1)}), "url-tree")
-    for i in range(1, LEVELS + 1):
-        up = ["host", *[f"t{j}" for j in range(1, i)]]
-        kids = tree.where(f"t{i} <> '' and t{i} not like '{{%'").groupBy(*up, f"t{i}").agg(F.sum("n").alias("n"))
-        wild = kids.groupBy(*up).agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("seen")).where(
-            f"kids > {MANY} and seen < {FEW} * kids").select(*up, F.lit(True).alias("wild"))
-        tree = tree.join(wild, up, "left").withColumn(
-            f"t{i}", F.expr(f"case when wild and t{i} <> '' and t{i} not like '{{%' then '*' else t{i} end")).drop("wild")
-        tree = written(tree, "url-tree")  # each level reads the last one twice
-    # merge siblings, from the root: node against its parent's share
-    tree = tree.withColumns({f"b{i}": F.col(f"t{i}") for i in range(1, LEVELS + 1)})
-    for i in range(1, LEVELS + 1):
-        up = ["host", *[f"b{j}" for j in range(1, i)]]
-        nodes = tree.groupBy(*up, f"b{i}").agg(F.sum("lab").alias("nl"), F.sum("bad").alias("nb"))
-        parents = nodes.groupBy(*up).agg(F.sum("nl").alias("pl"), F.sum("nb").alias("pb"))
-        like = nodes.join(parents, up).select(*up, f"b{i}", F.expr(
-            f"case when pl = 0 or pb = 0 or pb = pl then true else "
-            f"power(nb * pl - nl * pb, 2) <= {Z * Z} * nl * pb * (pl - pb) end").alias("like"))
-        tree = tree.join(like, [*up, f"b{i}"]).withColumn(
-            f"b{i}", F.expr(f"case when like and b{i} <> '' then '~' else b{i} end")).drop("like")
-        tree = written(tree, "url-tree")
-    branch = ["host", *[f"b{i}" for i in range(1, LEVELS + 1)], "more"]
+    tree = written(tree, "url-tree")
+    literal = "seg <> '' and seg not like '{%'"
+
+    def level(tree: DataFrame, path: str, i: int, open_when: str) -> DataFrame | None:
+        """Rows with ``seg``, their ``path`` at level i ('' past its end), and whether their prefix group is open;
+        None when no open group has a path that reaches level i."""
+        group = tree.groupBy("host", "done").agg(F.count(F.lit(1)).alias("rows_"), F.sum("lab").alias("pl"), F.sum("bad").alias("pb"),
+                                                 F.max(F.size(path)).alias("deep"))
+        group = group.where(f"deep > {i} and {open_when}").select("host", "done", "pl", "pb", F.lit(True).alias("is_open"))
+        if group.isEmpty():
+            return None
+        return tree.join(group, ["host", "done"], "left").withColumn("seg", F.coalesce(F.get(path, F.lit(i)), F.lit("")))
+
+    # wildcards: a group of at most MANY paths never has more than MANY children, at no level below
+    tree, i = tree.withColumn("done", F.expr("cast(array() as array<string>)")), 0
+    while (rows_at := level(tree, "segs", i, f"rows_ > {MANY}")) is not None:
+        kids = rows_at.where(f"is_open and {literal}").groupBy("host", "done", "seg").agg(F.sum("n").alias("n"))
+        wild = kids.groupBy("host", "done").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("seen")).where(
+            f"kids > {MANY} and seen < {FEW} * kids").select("host", "done", F.lit(True).alias("wild"))
+        seg = F.expr(f"case when wild and {literal} then '*' else seg end")
+        tree = written(rows_at.join(wild, ["host", "done"], "left").select(
+            *path_cols, "n", "lab", "bad", F.when(F.size("segs") > i, F.concat("done", F.array(seg))).otherwise(F.col("done")).alias("done")), "url-tree")
+        i += 1
+    tree = tree.select(*path_cols, "n", "lab", "bad", F.concat("done", F.expr(
+        "if(size(segs) > size(done), slice(segs, size(done) + 1, size(segs) - size(done)), cast(array() as array<string>))")).alias("t"))
+    # merge siblings, from the root: node against its parent's share. Below a group without labels, or with
+    # only good or only bad ones, all segments merge; so they do in a group of one path.
+    tree, i = written(tree.withColumn("done", F.expr("cast(array() as array<string>)")), "url-tree"), 0
+    while (rows_at := level(tree, "t", i, "rows_ > 1 and pb > 0 and pb < pl")) is not None:
+        nodes = rows_at.where("is_open").groupBy("host", "done", "seg").agg(F.sum("lab").alias("nl"), F.sum("bad").alias("nb"), F.first("pl").alias("pl"), F.first("pb").alias("pb"))
+        alone = nodes.where(f"not power(nb * pl - nl * pb, 2) <= {Z * Z} * nl * pb * (pl - pb)").select("host", "done", "seg", F.lit(True).alias("alone"))
+        seg = F.expr("if(alone, seg, '~')")
+        tree = written(rows_at.join(alone, ["host", "done", "seg"], "left").select(
+            *path_cols, "n", "lab", "bad", "t", F.when(F.size("t") > i, F.concat("done", F.array(seg))).otherwise(F.col("done")).alias("done")), "url-tree")
+        i += 1
+    tree = tree.withColumn("branch", F.concat("done", F.expr("array_repeat('~', size(t) - size(done))")))
+    branch = ["host", "branch"]
     leaves = tree.groupBy(*branch).agg(F.sum("lab").alias("labelled"), F.sum("bad").alias("bad_n"))
     hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("bad_n").alias("hb"))
     leaves = leaves.join(hosts, "host").withColumn("purity", F.round(F.expr(
         f"(bad_n + {WEIGHT}D * case when hl = 0 then 0D else cast(hb as double) / hl end) / (labelled + {WEIGHT}D)"), 9))
-    judged = tree.select(*path_cols, *branch[1:-1]).join(leaves.drop("hl", "hb"), branch)
-    template = F.concat(*[F.expr(f"case when b{i} = '' then '' else concat('/', b{i}) end") for i in range(1, LEVELS + 1)], F.col("more"))
+    judged = tree.select(*path_cols, "branch").join(leaves.drop("hl", "hb"), branch)
+    template = F.concat_ws("", F.transform("branch", lambda x: F.concat(F.lit("/"), x)))
     judged = judged.select(*path_cols, template.alias("template"), "labelled", F.col("bad_n"), "purity")
     text, verdict = rule_of(F.col("host"), F.col("path"), rules)
     out = rows.drop("lab", "bad").join(judged, path_cols)

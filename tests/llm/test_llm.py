@@ -202,3 +202,13 @@ def test_slug_ids_and_words_inside_classes_stay_in_the_article():
             f'<div class="share-social">{body}</div><div class="comments">{body}</div><div id="ad-1">{body}</div><div role="search">{body}</div>')
     assert own(kept + gone) == own(kept)
     assert own(f'<body><div class=post><h2 id="related-work">Related</h2><p>{body}</div><div class="my-sidebar">{body}</div>') == f"Related {body}"
+
+
+def test_url_branches_below_the_third_segment(spark):
+    urls = [(i, f"http://h.org/2024/05/12/{'spam' if i % 2 else 'news'}/a/x{i}") for i in range(60)]
+    urls += [(100 + i, f"http://k.org/a/b/c/d/{'e' if i < 30 else 'f'}/g/page-{i}") for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)]
+    got = {r.id: r for r in filter_urls(spark.createDataFrame(urls, "page_id long, url string"), spark.createDataFrame(labels, "key long, bad int"), rules=[]).collect()}
+    assert len(got) == 120 and {r.verdict for i, r in got.items() if i < 60 and i % 2} == {"block"}
+    assert {r.verdict for i, r in got.items() if i < 60 and not i % 2} == {"allow"}
+    assert "/spam/" in got[1].template and "/news/" in got[2].template and got[1].labelled == 30 == got[1].bad
