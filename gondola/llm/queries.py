@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import url_filter
+from gondola.llm import corpus_queries, url_filter
 from gondola.llm.bpe import bpe_round_trip
 from gondola.llm.common import table
 from gondola.llm.embed_dedup import embedding_dedup
@@ -236,6 +236,6 @@ SELECT doc_id, domain, language, origin, n_tokens::BIGINT AS n_tokens, unnest(ra
 QUERIES = {"op1_katz_scores": op1_katz_scores, "op2_exact_dedup": op2_exact_dedup, "op3_quality_classifier": op3_quality_classifier,
            "op4_substring_dedup": op4_substring_dedup, "op5_embedding_dedup": op5_embedding_dedup, "op6_url_filter": op6_url_filter,
            "op7_html_extract": op7_html_extract, "op8_bpe": op8_bpe, "op9_minhash_dedup": op9_minhash_dedup,
-           "op10_mix_sources": op10_mix_sources}
+           "op10_mix_sources": op10_mix_sources, **corpus_queries.QUERIES}
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_embedding_dedup": OP5_SQL, "op6_url_filter": _url_sql(),
-           "op9_minhash_dedup": OP9_SQL, "op10_mix_sources": _mix_sql()}
+           "op9_minhash_dedup": OP9_SQL, "op10_mix_sources": _mix_sql(), **corpus_queries.ORACLES}
