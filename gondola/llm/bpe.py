@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding by DuckDB recursive queries inside each task.
 
 A text is cut by the tokenizer's pattern. The distinct words of a batch start as one token per byte; each
-step of a recursive query lays them out as token-position rows, joins neighbours with the merge table
+step of a recursive query lays them out as token-position rows (a word under contraction is a string of
+one character per token), joins neighbours with the merge table
 and contracts each word's leftmost pair of the smallest rank, until none is left; ordered aggregation
 over the positions gives the ids and decodes them. Words already met by the task are remembered (bounded), so a word is contracted once.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gondola.llm.common import spread_scan
 
-#: Words remembered by a task; beyond it the memory starts anew.
+#: Words remembered by a worker; beyond it those go that have not come for the longest.
 REMEMBER = 700_000
 #: Rows of all rounds that one recursive query may make (a word of n bytes makes n*n/2 at most).
 QUERY_ROWS = 2_000_000
@@ -31,19 +32,23 @@ WITH RECURSIVE s(word, toks, rnd) AS (
   SELECT word, toks, 0 FROM words_of
   UNION ALL
   -- one row per neighbouring pair, joined with the merges; the smallest (rank, place) of a word is contracted
-  SELECT word, list_concat(toks[:spot - 1], [made], toks[spot + 2:]), rnd + 1
+  SELECT word, substr(toks, 1, spot - 1) || chr(made + CASE WHEN made < 55295 THEN 1 ELSE 2049 END) || substr(toks, spot + 2), rnd + 1
   FROM (
-    SELECT word, first(toks) AS toks, first(rnd) AS rnd, min(first_rank + i) & 4294967295 AS spot, (min(first_rank + i) >> 32)::INTEGER AS made
-    FROM (SELECT word, toks, rnd, unnest(toks[:-2]) AS l, unnest(toks[2:]) AS r, unnest(range(1, len(toks))) AS i FROM s WHERE len(toks) > 1)
-    JOIN merges USING (l, r) GROUP BY word)
+    SELECT word, any_value(toks) AS toks, any_value(rnd) AS rnd, (min(first_rank + i) & 4294967295)::INTEGER AS spot, (min(first_rank + i) >> 32)::INTEGER AS made
+    FROM (SELECT word, toks, rnd, i, substr(toks, i, 2) AS pair FROM (SELECT word, toks, rnd, unnest(range(1, length(toks))) AS i FROM s))
+    JOIN merges USING (pair) GROUP BY word)
 ),
 ends AS (SELECT word, arg_max(toks, rnd) AS toks FROM s GROUP BY word),
-places AS (SELECT word, unnest(toks) AS tok, unnest(range(len(toks))) AS pos FROM ends)
-SELECT word, string_agg(tok::VARCHAR, ' ' ORDER BY pos) AS ids, string_agg(tokens.hex, '' ORDER BY pos) AS hex
-FROM places JOIN tokens ON tokens.id = tok GROUP BY word
+places AS (SELECT word, substr(toks, i, 1) AS sym, i FROM (SELECT word, toks, unnest(range(1, length(toks) + 1)) AS i FROM ends))
+SELECT word, string_agg(named, ' ' ORDER BY i) AS named FROM places JOIN tokens USING (sym) GROUP BY word
 """
 
 
+def symbol(token: int) -> str:
+    """A token as one character, so that a word under contraction is a short string: no NUL, no surrogates."""
+    return chr(token + (1 if token < 55295 else 2049))
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes to rank, from a file of base64 token and rank per line."""
     with open(path, "rb") as f:
@@ -58,16 +63,26 @@ class Encoder:
 
         self.ranks = read_ranks(path)
         self.tokens = {v: k for k, v in self.ranks.items()}
-        self.byte = [self.ranks[bytes([b])] for b in range(256)]
-        merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+        self.byte = [symbol(self.ranks[bytes([b])]) for b in range(256)]
+        merges = [(symbol(self.ranks[t[:i]]) + symbol(self.ranks[t[i:]]), r << 32)
+                  for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        columns = list(zip(*merges)) or [(), (), ()]
-        table = pa.table({k: pa.array(v, pa.int32()) for k, v in zip(("l", "r", "rank"), columns)})
-        named = pa.table({"id": pa.array(list(self.tokens), pa.int32()), "hex": pa.array([t.hex() for t in self.tokens.values()])})
-        self.con.register("merge_rows", table)
-        self.con.register("token_rows", named)
-        self.con.execute("CREATE TABLE merges AS SELECT l, r, rank::BIGINT << 32 AS first_rank FROM merge_rows; CREATE TABLE tokens AS SELECT * FROM token_rows")
+        self.con.register("merge_rows", pa.table({"pair": pa.array([m for m, _ in merges], pa.string()), "first_rank": pa.array([r for _, r in merges], pa.int64())}))
+        # one ordered aggregate gives ids and bytes at once: "id/hex" per token
+        self.con.register("token_rows", pa.table({"sym": pa.array([symbol(i) for i in self.tokens]), "named": pa.array([f"{i}/{t.hex()}" for i, t in self.tokens.items()])}))
+        self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows; CREATE TABLE tokens AS SELECT * FROM token_rows")
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+
+    def meet(self, words: set[str]) -> None:
+        """See to it that ``known`` has these words; of the words met before, those that still come stay."""
+        if len(self.known) > REMEMBER // 2:
+            self.known, self.older = {}, self.known
+        new = [w for w in words if w not in self.known]
+        if self.older:
+            self.known.update((w, self.older[w]) for w in new if w in self.older)
+            new = [w for w in new if w not in self.known]
+        self.learn(new)
 
     def learn(self, new: list[str]) -> None:
         """Add (ids joined by spaces, decoded bytes) of words not met yet."""
@@ -91,10 +106,11 @@ class Encoder:
 
     def _query(self, batch: list[tuple[str, bytes]]) -> None:
         rows = pa.table({"word": pa.array(range(len(batch)), pa.int32()),
-                         "toks": pa.array([[self.byte[b] for b in raw] for _, raw in batch], pa.list_(pa.int32()))})
+                         "toks": pa.array(["".join([self.byte[b] for b in raw]) for _, raw in batch], pa.string())})
         self.con.register("words_of", rows)
-        for i, ids, text in self.con.execute(_ENCODE).fetchall():
-            self.known[batch[i][0]] = (ids.encode(), bytes.fromhex(text))
+        for i, named in self.con.execute(_ENCODE).fetchall():
+            parts = named.replace("/", " ").split(" ")
+            self.known[batch[i][0]] = (" ".join(parts[::2]).encode(), bytes.fromhex("".join(parts[1::2])))
         self.con.unregister("words_of")
 
     def contract_long(self, raw: bytes) -> list[int]:
@@ -132,11 +148,8 @@ def _encode(path: str, pattern: str, with_ids: bool):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 cut = [find(t or "") for t in part.column(1).to_pylist()]
-                if len(enc.known) > REMEMBER:
-                    enc.known.clear()
+                enc.meet({w for ws in cut for w in ws})
                 known = enc.known
-                new = {w for ws in cut for w in ws if w not in known}
-                enc.learn(list(new))
                 n, ids, decoded, texts = [], [], [], []
                 for ws in cut:
                     got = [known[w] for w in ws]
