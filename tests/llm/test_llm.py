@@ -85,7 +85,7 @@ def test_bpe_equals_tiktoken(spark, odd):
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").limit(60).union(odd.select("doc_id", "text"))
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").union(odd.select("doc_id", "text"))
     docs = docs.union(spark.createDataFrame([(90, "ab" * 900 + "<|endoftext|>")], "doc_id long, text string")).collect()
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n", F.monotonically_increasing_id())
     got = bpe_round_trip(df, path, P.PATTERN, id_col="n", with_ids=True).join(df, F.col("id") == df.n).collect()
