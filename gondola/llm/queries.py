@@ -104,7 +104,7 @@ hp AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFG
        FROM (SELECT page_id, coalesce(rest, '') AS rest FROM u)),
 m AS (SELECT doc_id::VARCHAR AS key, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END)::BIGINT AS bad FROM labels GROUP BY doc_id),
 sg AS (SELECT hp.*, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs, (m.bad IS NOT NULL)::BIGINT AS lab, coalesce(m.bad, 0) AS bad
-       FROM hp LEFT JOIN m ON m.key = ltrim(regexp_extract(path, '([0-9]+)[^0-9]*$', 1), '0'))""",
+       FROM hp LEFT JOIN m ON m.key = regexp_replace(regexp_extract(path, '([0-9]+)[^0-9]*$', 1), '^0+([0-9])', '\\1'))""",
             f"""
 r AS (SELECT page_id, host, path, lab, bad, {", ".join(f"{cls(f'segs[{i}]')} AS s{i}" for i in levels)},
       CASE WHEN len(segs) > {url_filter.LEVELS} THEN '/**' ELSE '' END AS more FROM sg),
@@ -129,8 +129,8 @@ v{i} AS (SELECT v.* REPLACE (CASE WHEN (CASE WHEN pl = 0 OR pb = 0 OR pb = pl TH
     bs = ", ".join(f"b{i}" for i in levels)
     ctes.append(f"""
 lf AS (SELECT host, {bs}, more, sum(lab)::BIGINT AS labelled, sum(bad)::BIGINT AS badn FROM v{last} GROUP BY ALL),
-pr AS (SELECT *, round((badn + {url_filter.WEIGHT} * CASE WHEN sum(labelled) OVER h = 0 THEN 0 ELSE sum(badn) OVER h::DOUBLE / sum(labelled) OVER h END)
-         / (labelled + {url_filter.WEIGHT}), 9) AS purity FROM lf WINDOW h AS (PARTITION BY host)),
+pr AS (SELECT *, round((badn + {url_filter.WEIGHT}::DOUBLE * ((sum(badn) OVER h + {url_filter.WEIGHT}::DOUBLE * coalesce((SELECT sum(badn)::DOUBLE / nullif(sum(labelled), 0) FROM lf), 0))
+         / (sum(labelled) OVER h + {url_filter.WEIGHT}::DOUBLE))) / (labelled + {url_filter.WEIGHT}::DOUBLE), 9) AS purity FROM lf WINDOW h AS (PARTITION BY host)),
 j AS (SELECT v.host, {", ".join(f"v.s{i}" for i in levels)}, v.more, {" || ".join(f"CASE WHEN pr.b{i} = '' THEN '' ELSE '/' || pr.b{i} END" for i in levels)} || more AS template,
       labelled, badn, purity FROM v{last} v JOIN pr USING (host, {bs}, more)),
 ru AS (SELECT *, CASE WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'

@@ -20,7 +20,8 @@ from gondola.llm.common import written
 LEVELS = 3
 #: A parent with more literal children than this, of under FEW urls each on average, has variable children.
 MANY, FEW = 20, 3
-#: Two-sided 5 % test, pseudo-labels of the host's share, and the share that rejects.
+#: Two-sided 5 % test, pseudo-labels, and the share that rejects. A host's share is smoothed by WEIGHT labels of
+#: the share over all hosts, a branch's by WEIGHT labels of its host's smoothed share.
 Z, WEIGHT, REJECT = 1.96, 5.0, 0.5
 
 #: (host, path prefix, verdict); a rule fits its host and all subdomains.
@@ -62,7 +63,7 @@ def filter_urls(urls: DataFrame, labels: DataFrame, id_col: str = "page_id", url
 
     ``labels`` (key, bad 0/1) belongs to urls by the last number in their path; a key that repeats is
     bad if any of its rows is; null keys and values are ignored. Null urls and urls without ``://`` have empty host
-    and path and form one tree of their own. Without any label every purity is the prior 0. Empty tables
+    and path and form one tree of their own. Without any label every purity is 0. Empty tables
     give an empty result; extra columns are ignored, and rows that repeat are judged each.
     """
     host, path = split_url(F.col(url_col))
@@ -117,8 +118,10 @@ def filter_urls(urls: DataFrame, labels: DataFrame, id_col: str = "page_id", url
     branch = ["host", "branch"]
     leaves = tree.groupBy(*branch).agg(F.sum("lab").alias("labelled"), F.sum("bad").alias("bad_n"))
     hosts = leaves.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("bad_n").alias("hb"))
-    leaves = leaves.join(hosts, "host").withColumn("purity", F.round(F.expr(
-        f"(bad_n + {WEIGHT}D * case when hl = 0 then 0D else cast(hb as double) / hl end) / (labelled + {WEIGHT}D)"), 9))
+    whole = hosts.agg(F.sum("hb").alias("b"), F.sum("hl").alias("l")).first()
+    share = whole.b / whole.l if whole.l else 0.0
+    leaves = leaves.join(hosts, "host").withColumn("purity", F.round(
+        (F.col("bad_n") + WEIGHT * ((F.col("hb") + WEIGHT * F.lit(share)) / (F.col("hl") + WEIGHT))) / (F.col("labelled") + WEIGHT), 9))
     judged = tree.select(*path_cols, "branch").join(leaves.drop("hl", "hb"), branch)
     template = F.concat_ws("", F.transform("branch", lambda x: F.concat(F.lit("/"), x)))
     judged = judged.select(*path_cols, template.alias("template"), "labelled", F.col("bad_n"), "purity")
