@@ -2,7 +2,8 @@
 
 Counts are discounted after Good-Turing, and what the discounts free is handed to the lower order by
 backoff weights that make every context sum to one exactly: over the words seen after the context
-and, through the unigrams, over the whole vocabulary with one symbol for unknown words. The model lies in
+and, through the unigrams, over the whole vocabulary with one symbol for unknown words. A distribution none of
+whose counts is discounted (all above K) is given half a count more, which goes to the unseen. The model lies in
 tables partitioned by context. Documents are scored in blocks: a block sends each of its distinct
 bigrams once, packed, to the shard of the bigram's context, where training counts of all blocks are
 added up; the sums come back, and the block evaluates its tokens recursively, bigram to unigram.
@@ -21,6 +22,8 @@ from gondola.llm.words import _STEP, mix, pieces, utf8, words
 
 #: Counts above K are reliable and stay undiscounted.
 K = 5
+#: Counts that the unseen get where nothing is discounted.
+RESERVE = 0.5
 #: Bytes of text in a block, and bytes of text for each shard of the bigram table, about.
 BLOCK_BYTES, SHARD_BYTES = 12 << 20, 12 << 20
 #: A context that holds over 1/HOT of all tokens (at most HOT of them) is split over shards by the next word.
@@ -177,7 +180,7 @@ def _request(total: int, shards: int):
     return run
 
 
-def _merge(total: int, d1: list[float]):
+def _merge(norm: float, d1: list[float]):
     """Adds up a shard's bigrams. Rows: a block's counts (kind 0), a context's sums (kind 1), types seen r times (kind 2)."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -187,7 +190,7 @@ def _merge(total: int, d1: list[float]):
             li, ri = li.astype(np.int64), ri.astype(np.int64)
             prints.append(mix(lw[li] * _STEP + rw[ri]))
             lefts.append(lw[li])
-            p1.append((factor(c, d1) * c / total)[ri])
+            p1.append((factor(c, d1) * c / norm)[ri])
             seen.append(n.astype(np.int64))
             sizes.append(len(li))
         _, at, inverse = np.unique(np.concatenate(prints), return_index=True, return_inverse=True)
@@ -220,7 +223,7 @@ def _merge(total: int, d1: list[float]):
     return run
 
 
-def _evaluate(total: int, types: int, d1: list[float], d2: list[float], unknown: float, shards: int):
+def _evaluate(total: int, norm: float, types: int, d1: list[float], d2: list[float], unknown: float, shards: int):
     """Scores of a block's documents from its words' unigram counts and backoff weights and its bigrams' counts."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -234,9 +237,10 @@ def _evaluate(total: int, types: int, d1: list[float], d2: list[float], unknown:
         n2 = np.zeros(len(left), np.int64)
         n2[order] = np.concatenate([unpack(z)[0] for z in packed["z"].to_pylist()] + [np.zeros(0, np.uint64)]).astype(np.int64)
         c1 = c[at_right]
-        p1 = np.where(c1 > 0, factor(c1, d1) * c1 / total, unknown)
-        ch = np.maximum(c[at_left], 1)
-        p2 = np.where(n2 > 0, factor(n2, d2) * n2 / ch, alpha[at_left] * p1)
+        p1 = np.where(c1 > 0, factor(c1, d1) * c1 / norm, unknown)
+        weight = alpha[at_left]
+        ch = np.maximum(c[at_left], 1) + np.where(weight < 0, RESERVE, 0)
+        p2 = np.where(n2 > 0, factor(n2, d2) * n2 / ch, np.abs(weight) * p1)
         log2, base = np.log10(p2)[inverse], np.log10((c1 + 0.5) / (total + 0.5 * (types + 1)))[inverse]
         n = np.diff(first)
         return pa.table({"id": docs["id"], "held_out": docs["held_out"], "n_tokens": pa.array(n, pa.int64()),
@@ -265,7 +269,9 @@ def katz_scores(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     total, types, texts = stat.total or 0, stat.types, stat.texts or 0
     d1 = discounts([0] + [stat[f"n{r}"] for r in range(1, K + 2)])
     seen = unigrams.agg(F.sum(_discounted(F.col("c"), d1))).first()[0] or 0.0
-    unknown = max(1.0 - seen / total, 1e-300) if total else 1.0
+    # where no count is discounted, the unseen get a reserved part of a count
+    norm = (total + RESERVE if seen >= total else float(total)) if total else 1.0
+    unknown = (norm - seen) / norm
     start = spark.range(1).select(F.lit(int(START.view(np.int64))).alias("w"), F.lit(texts).cast("long").alias("c"))
 
     dealt = deal(src, ["id", "fp"], BLOCK_BYTES)
@@ -282,7 +288,7 @@ def katz_scores(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     requests = dealt.groupBy("block").cogroup(answered(known.withColumn("alpha", F.lit(1.0))).groupBy("block")).applyInArrow(
         _request(max(total, 1), shards), "shard long, block long, z binary")
     merged = requests.repartition(shards, "shard").groupBy("shard").applyInArrow(
-        _merge(max(total, 1), d1), "kind int, key long, shard long, z binary, sums array<double>")
+        _merge(norm, d1), "kind int, key long, shard long, z binary, sums array<double>")
     merged = written(merged, "katz-bigrams")
     of = {int(r.key): int(r.n) for r in merged.where("kind = 2").groupBy("key").agg(F.sum(F.col("sums")[0]).alias("n")).collect()}
     d2 = discounts([of.get(r, 0) for r in range(K + 2)])
@@ -291,15 +297,17 @@ def katz_scores(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     parts = parts.groupBy("w").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(K + 2)])
     used = sum((F.col(f"s{r - 1}") * d2[r] for r in range(1, K + 1)), F.col(f"s{K}"))
     every = sum((F.col(f"s{r}") for r in range(K + 1)), F.lit(0.0))
-    alpha = (1 - used / every) / (1 - F.col(f"s{K + 1}"))
-    # when all mass is used the floor keeps unseen words possible; the sum then exceeds one by 1e-12
-    weights = parts.select("w", F.greatest(alpha, F.lit(1e-12)).alias("alpha"))
+    # what the context's followers leave of the unigrams: at least the unknown symbol. A context without a discounted
+    # follower has RESERVE more counts, which its weight tells by a negative sign.
+    rest = F.greatest(1 - F.col(f"s{K + 1}"), F.lit(unknown))
+    alpha = F.when(used < every, (1 - used / every) / rest).otherwise(-F.lit(RESERVE) / (every + RESERVE) / rest)
+    weights = parts.select("w", alpha.alias("alpha"))
     table = written(known.join(weights, "w", "left").select("w", "c", F.coalesce("alpha", F.lit(1.0)).alias("alpha")), "katz-model")
     words_back = answered(table).withColumn("kind", F.lit(1))
     counts_back = merged.where("kind = 0").select(F.col("key").alias("block"), "shard", "z", F.lit(0).alias("kind"))
     kind = src.schema["id"].dataType.simpleString()
     out = dealt.groupBy("block").cogroup(words_back.union(counts_back).groupBy("block")).applyInArrow(
-        _evaluate(max(total, 1), types, d1, d2, unknown, shards), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        _evaluate(max(total, 1), norm, types, d1, d2, unknown, shards), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 

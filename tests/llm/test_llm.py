@@ -64,8 +64,9 @@ def test_katz_equals_brute_force_and_sums_to_one(spark):
     after = defaultdict(list)
     for (h, w), c in c2.items():
         after[h].append((w, c))
-    alpha = {h: max((1 - sum(used(c, d2) for _, c in f) / ch[h]) / (1 - sum(p1(w) for w, _ in f)), 1e-12) for h, f in after.items()}
-    p2 = lambda h, w: used(c2[h, w], d2) / ch[h] if (h, w) in c2 else alpha.get(h, 1.0) * p1(w)
+    full = {h: ch[h] + 0.5 * all(c > K for _, c in f) for h, f in after.items()}
+    alpha = {h: (1 - sum(used(c, d2) for _, c in f) / full[h]) / (1 - sum(p1(w) for w, _ in f)) for h, f in after.items()}
+    p2 = lambda h, w: used(c2[h, w], d2) / full[h] if (h, w) in c2 else alpha.get(h, 1.0) * p1(w)
     for h in list(after)[:20]:
         assert sum(p2(h, w) for w in c1) + alpha[h] * unknown == pytest.approx(1, abs=1e-9)
     for k, ws in tokens.items():
@@ -75,6 +76,23 @@ def test_katz_equals_brute_force_and_sums_to_one(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_katz_of_few_and_repeated_texts(spark):
+    """Whole vocabulary after one context, nothing discounted, nothing to learn from."""
+    def scores(texts, held):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        return {r.id: r.score for r in katz_scores(df, F.col("doc_id") >= held).collect()}
+
+    for text, n in (("", 1), ("a a", 3)):
+        got = scores([text] * 10, 10)
+        assert len(got) == 10 and all(0 >= x > -n for x in got.values())
+    got = scores(["a b"] * 10 + ["a zzz"], 10)
+    # unigrams: 30 counts and half a one for the unknown; contexts <s> a, a b and b end: 10 counts and half a one each
+    seen, unseen, back = 10 / 10.5, 0.5 / 10.5, 1 - 10 / 30.5
+    assert got[0] == pytest.approx(3 * math.log10(seen)) and got[10] == pytest.approx(
+        math.log10(seen) + math.log10(unseen / back * 0.5 / 30.5) + math.log10(10 / 30.5))
+    assert scores(["x y"], 0) == {0: 0.0}
+
+
 def test_bpe_equals_tiktoken(spark, odd):
     import base64
 
