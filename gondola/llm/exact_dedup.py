@@ -5,16 +5,19 @@ task (partial aggregation), then inside (digest, salt) groups, then over the sal
 digest. The salt comes from the row and not from the text, so a text that holds a third of all rows
 is spread over all salts, while a text without copies costs one row whatever the number of salts.
 With about sqrt(rows) salts neither a salted group nor the winners of one text exceed about
-sqrt(rows) entries.
+sqrt(rows) entries: the last stage sees one count and one best row per salt, never the copies, and its
+result goes back to the salted groups by (digest, salt), with the text compared.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gondola.llm.common import written
+
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None,
                 normalise=None) -> DataFrame:
@@ -25,7 +28,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     Of equal texts the row with the largest id stays; of rows with the same id too, the one with the
     larger hash of its other columns, and of rows equal in everything, one. A null text counts as
     empty; a null id is smaller than any other, and ``keep_id`` is null when no copy has an id. An
-    empty table gives an empty result. Extra columns keep their names inside ``row``.
+    empty table gives an empty result. Extra columns keep their names inside ``row``; they may be maps too.
 
     ``normalise`` maps the text column before the comparison (default: no change).
     """
@@ -35,24 +38,25 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     text: Column = F.coalesce(F.col(text_col), F.lit(""))
     if normalise is not None:
         text = normalise(text)
-    tie = F.xxhash64(*[F.col(c) for c in rest])
+    kinds = dict(df.dtypes)
+    tie = F.xxhash64(*[F.array_sort(F.map_entries(F.col(c))) if kinds[c].startswith("map<") else F.col(c) for c in rest])
     src = df.select(
         F.struct(F.col(id_col).alias("id"), tie.alias("tie"), F.struct(*rest).alias("row")).alias("member"),
         text.alias("text"))
     src = src.select("member", "text", F.sha2("text", 256).alias("digest"),
                      F.pmod(F.col("member.tie"), F.lit(salts)).alias("salt"))
-    salted = src.groupBy("digest", "salt", "text").agg(
-        F.collect_list("member").alias("members"),
-        F.max(F.struct("member.id", "member.tie")).alias("best"))
-    w = Window.partitionBy("digest", "text")
-    winners = salted.select(
-        "digest", "text", F.sort_array("members", asc=False).alias("members"), "best",
-        F.max("best").over(w).alias("top"),
-        F.sum(F.size("members").cast("long")).over(w).alias("group_size"))
-    out = winners.select("digest", "text", "top", "group_size",
-                         (F.col("best") == F.col("top")).alias("here"),
-                         F.posexplode("members").alias("at", "member"))
-    # struct comparison is null-safe field by field through <=>
-    here = F.col("member.id").eqNullSafe(F.col("top.id")) & (F.col("member.tie") == F.col("top.tie"))
+    salted = written(src.groupBy("digest", "salt", "text").agg(
+        F.collect_list("member").alias("members"), F.count(F.lit(1)).alias("n"),
+        F.max(F.struct("member.id", "member.tie")).alias("best")), "exact-salted")
+    # one entry per salt meets the others; a text in one salted group has nobody to meet
+    winners = salted.groupBy("digest", "text").agg(
+        F.max("best").alias("top"), F.sum("n").alias("group_size"), F.collect_list("salt").alias("salts")).where(F.size("salts") > 1)
+    winners = written(winners.select("digest", "text", "top", "group_size", F.explode("salts").alias("salt")), "exact-winners")
+    out = salted.join(winners, ["digest", "salt", "text"], "left").select(
+        "digest", "text", "members", "best", F.coalesce("top", "best").alias("top"), F.coalesce("group_size", "n").alias("group_size"))
+    # rows equal to the top one share a salt; the first of them stays
+    key = F.transform("members", lambda m: F.struct(m["id"].alias("id"), m["tie"].alias("tie")))
+    out = out.select("digest", "text", "top", "group_size", F.when(F.col("best") == F.col("top"), F.array_position(key, F.col("top")) - 1).alias("first"),
+                     F.posexplode("members").alias("at", "member"))
     return out.select(F.col("member.row").alias("row"), "text", "digest", F.col("top.id").alias("keep_id"),
-                      "group_size", (here & (F.col("at") == 0)).alias("kept"))
+                      "group_size", F.coalesce(F.col("at") == F.col("first"), F.lit(False)).alias("kept"))
