@@ -76,6 +76,33 @@ def test_katz_equals_brute_force_and_sums_to_one(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_exact_dedup_of_a_hot_text_and_a_map_column(spark):
+    """A third of all rows equal: the last stage meets one entry per salt, and no list of members."""
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i // 2}", {"k": i}) for i in range(900)] + [(897, "hot", {"k": 897})] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>")
+    out = exact_dedup(df, salts=16).collect()
+    assert len(out) == 902
+    hot = [r for r in out if r.text == "hot"]
+    assert len(hot) == 302 and {(r.keep_id, r.group_size) for r in hot} == {(897, 302)} and sum(r.kept for r in hot) == 1
+    for text in {r.text for r in out}:
+        same = [r for r in out if r.text == text]
+        assert sum(r.kept for r in same) == 1 and {r.keep_id for r in same} == {max(r.row.doc_id for r in same)} and {r.group_size for r in same} == {len(same)}
+    # the exchange by content carries no members; the table of winners has at most one row per salt and text
+    plan = exact_dedup(df, salts=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "collect_list" not in plan
+
+
+def test_one_bad_label_does_not_block_a_host(spark):
+    urls = [(0, "http://a.com/x/1")] + [(9, "http://a.com/x/100")] + [(i, f"http://b.com/x/{i}") for i in range(2, 52)]
+    out = filter_urls(spark.createDataFrame(urls, "page_id long, url string"),
+                      spark.createDataFrame([(1, 1)] + [(i, 0) for i in range(2, 52)], "key long, bad int")).collect()
+    host = [r for r in out if r.host == "a.com"]
+    prior = (1 + 5 * (1 / 51)) / (1 + 5)
+    assert all(r.purity == pytest.approx((1 + 5 * prior) / 6, abs=1e-8) and r.verdict == "allow" for r in host) and len(host) == 2
+    zero = filter_urls(spark.createDataFrame([(1, "http://c.com/00")], "page_id long, url string"), spark.createDataFrame([(0, 1)], "key long, bad int")).collect()
+    assert zero[0].labelled == 1
+
+
 def test_katz_of_few_and_repeated_texts(spark):
     """Whole vocabulary after one context, nothing discounted, nothing to learn from."""
     def scores(texts, held):
