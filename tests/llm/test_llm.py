@@ -157,6 +157,43 @@ def test_main_text_of_other_page_shapes():
     assert Page("").text(None) == "" and Page("just text <b>bold").text(Page("x").best()) == "just text bold"
 
 
+def test_deep_nesting_is_linear():
+    import time
+
+    deep = "".join(f"<div class=c{i % 7}>" + ("<p>some words of text" if i % 100 == 0 else "") for i in range(100_000))
+    began = time.process_time()
+    page = Page("<body>" + deep)
+    assert page.text(page.best(["html>body>div.c#"])).startswith("some words of text some words")
+    assert time.process_time() - began < 8  # 2 s on a free core
+
+
+def test_rare_layout_keeps_its_own_container():
+    story = " ".join(f"Long story number {i}." for i in range(30))
+    page = Page(f'<body><div class="longread"><p>{story}</div><div class="post">see also</div></body>')
+    assert page.text(page.best(["html>body>div.post"])) == story
+    article = Page(f'<body><main><div class="a"><p>{story}</div><p>The end.</main></body>')
+    assert article.text(article.best(["html>body>main"])) == story + " The end."
+
+
+def test_weak_marker_words_inside_an_article_need_confirmation():
+    text = "A paragraph about the notice that the court gave, which runs to more than eighty characters in all."
+    page = Page(f'<article><p class="legal">{text}</p><p class="notice">{text}</p><div class="notice">Short</div><div class="comments">{text}</div></article>')
+    assert page.text(page.best()) == f"{text} {text}"
+
+
+def test_html_of_odd_rows_and_both_joins(spark, monkeypatch):
+    from gondola.llm import html_extract
+
+    rows = [(1, "http://h/1", "<p>one", "x"), (1, "http://h/1", "<p>one", "x"), (None, None, None, None), (3, "", "", ""), (4, "http://h/2", " ", "paths"),
+            (5, "http://g/2", "<div class=post><p>" + "w " * 100_000, "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, paths string")
+    want = sorted([(1, "one"), (1, "one"), (None, ""), (3, ""), (4, ""), (5, ("w " * 100_000).strip())], key=repr)
+    assert sorted(((r.id, r.text) for r in extract_main(df).collect()), key=repr) == want
+    monkeypatch.setattr(html_extract, "BROADCAST_BYTES", -1)
+    assert sorted(((r.id, r.text) for r in extract_main(df).collect()), key=repr) == want
+    assert extract_main(df.limit(0)).collect() == []
+
+
 def test_html_query_equals_document_texts(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     pages = q.op7_html_extract(spark, SF_SMALL).collect()
