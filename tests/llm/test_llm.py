@@ -195,14 +195,19 @@ def test_html_of_odd_rows_and_both_joins(spark, monkeypatch):
 
 
 def test_html_query_equals_document_texts(spark):
+    from html import unescape
+
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    source = {r.page_id: r.html for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
     pages = q.op7_html_extract(spark, SF_SMALL).collect()
     seen = 0
     for r in pages:
         k = int(re.search(r"/(\d+)", r.url.split("://")[1])[1])
         if k in docs:
             seen += 1
-            assert r.text.endswith(" ".join(docs[k].split())) and r.n_chars == len(r.text)
+            heading = unescape(re.search("<h1>(.*?)</h1>", source[r.page_id], re.S)[1])
+            whole = [" ".join(t.split()) for t in (heading, docs[k])]
+            assert r.text == " ".join(t for t in whole if t) and r.n_chars == len(r.text)
     assert seen
 
 
