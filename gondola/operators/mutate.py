@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gondola.operators.scan import numbered
+
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -76,14 +78,14 @@ def upsert_keep_last(current: DataFrame, incoming: DataFrame, key: str | Sequenc
 
 
 def next_ids(existing: DataFrame, id_col: str, new_rows: DataFrame, order_col: str) -> DataFrame:
-    """DML-9: surrogate ids ``MAX(id) + row_number()`` over the set of new rows.
+    """DML-9: surrogate ids ``MAX(id) + row_number()`` over the new rows in ``order_col``.
 
-    The base is a scalar subquery (JN-11); the un-partitioned window is only for the handful of
-    rows a review creates (new categories), never for fact data.
+    The base is a scalar subquery (JN-11); the numbers come from a distributed rank (range partition,
+    count per range, offsets joined back), so the number of new rows has no bound.
     """
     base = existing.select(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    w = Window.orderBy(order_col)
-    return new_rows.withColumn(id_col, (base + F.row_number().over(w)).cast("long"))
+    ranked = numbered(new_rows, [order_col], name="_rank")
+    return ranked.withColumn(id_col, (base + F.col("_rank")).cast("long")).drop("_rank")
 
 
 def remap_values(target: DataFrame, col: str, mapping: DataFrame, old: str = "old_id",

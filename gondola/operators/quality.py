@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gondola.operators.scan import exact_percentiles
+
 
 def latest_per_product(staging: DataFrame, keys: Sequence[str] = ("run_id", "id_producto")) -> DataFrame:
     """One staged row per (run, product): the newest iteration, then highest confidence, then lowest id."""
@@ -69,14 +71,17 @@ def category_quality(mapping: DataFrame, categories: DataFrame, top_n: int = 10,
                      risk_std: float = 0.03, dominance_pct: float = 15.0) -> DataFrame:
     """PIP-30: top-n categories by products with confidence mean/std/min/max/p10/p90, share of all
     classified products, risk flag (std < 0.03) and dominance flag (share > 15 %)."""
-    cats = F.broadcast(categories.select("id_categoria", F.col("nombre").alias("nombre")))
+    cats = categories.select("id_categoria", F.col("nombre").alias("nombre"))
     total = mapping.select(F.count_distinct("id_producto")).scalar()
-    g = (mapping.join(cats, "id_categoria").groupBy("nombre").agg(
+    named = mapping.join(cats, "id_categoria")
+    g = named.groupBy("nombre").agg(
         F.count_distinct("id_producto").alias("n"),
         F.avg("confianza").alias("avg_conf"), F.stddev("confianza").alias("std_conf"),
-        F.min("confianza").alias("min_conf"), F.max("confianza").alias("max_conf"),
-        F.percentile("confianza", 0.10).alias("p10_conf"), F.percentile("confianza", 0.90).alias("p90_conf")))
+        F.min("confianza").alias("min_conf"), F.max("confianza").alias("max_conf"))
+    ranks = exact_percentiles(named, ["nombre"], "confianza", [0.10, 0.90])
+    ranks = ranks.select(F.col("nombre").alias("_nombre"), F.col("p10_interp").alias("p10_conf"), F.col("p90_interp").alias("p90_conf"))
     top = g.orderBy(F.col("n").desc(), F.col("nombre").asc()).limit(top_n)
+    top = top.join(ranks, F.col("nombre").eqNullSafe(F.col("_nombre")), "left")
     pct = F.col("n") * 100.0 / total
     out = top.select("nombre", "n", *[F.round(c, 6).alias(c) for c in
                                       ("avg_conf", "std_conf", "min_conf", "max_conf", "p10_conf", "p90_conf")],
@@ -113,16 +118,9 @@ def unclassified_tracking(staging: DataFrame, catch_all_id: int) -> DataFrame:
 
 def nearest_rank_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                              qs: Sequence[float] = (0.10, 0.90)) -> DataFrame:
-    """AGG-5: nearest-rank percentiles ``sorted(values)[int(n * q)]`` per group — a window rank,
-    not a collected list, so a hot group is never held in memory as one array. Also the
-    interpolated percentile (AGG-4) for comparison."""
-    w = Window.partitionBy(*group_cols).orderBy(value_col)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*group_cols))
-    ranked = df.select(*group_cols, value_col).withColumn("_rn", F.row_number().over(w)).withColumn("_n", n)
-    aggs = [F.max("_n").alias("n")]
-    for q in qs:
-        tag = f"{int(round(q * 100)):02d}"
-        aggs.append(F.max(F.when(F.col("_rn") == F.floor(F.col("_n") * q) + 1, F.col(value_col)))
-                    .alias(f"p{tag}_nearest"))
-        aggs.append(F.round(F.percentile(value_col, q), 6).alias(f"p{tag}_interp"))
-    return ranked.groupBy(*group_cols).agg(*aggs)
+    """AGG-5: nearest-rank percentiles ``sorted(values)[int(n * q)]`` per group, and the interpolated ones
+    (AGG-4) for comparison, by distributed selection (``scan.exact_percentiles``)."""
+    out = exact_percentiles(df, list(group_cols), value_col, list(qs))
+    tags = [f"{round(q * 100):02d}" for q in qs]
+    return out.select(*group_cols, "n", *[c for t in tags for c in (
+        F.col(f"p{t}_nearest"), F.round(f"p{t}_interp", 6).alias(f"p{t}_interp"))])

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gondola.operators.scan import running
+
 PRICE_RE = r"(-?[0-9]+[,.][0-9]{2})"
 CODE10_RE = r"(^|[^0-9])([0-9]{10})([^0-9]|$)"    # pin D13: digit boundaries
 CODE13_RE = r"(^|[^0-9])([0-9]{13,14})([^0-9]|$)"
@@ -125,12 +127,12 @@ def weight_fix(items: DataFrame, unit_threshold: float = 20000.0) -> DataFrame:
 def group_ocr_fragments(frags: DataFrame, doc_col: str, y_col: str, text_col: str, conf_col: str,
                         gap: float = 20.0) -> DataFrame:
     """PIP-48 / WIN-6: y-sorted fragments -> lines. A new line starts where the y gap to the
-    previous fragment exceeds ``gap``: ``lag`` + running ``sum(when(...))``, then joined text (in
-    y order) and mean confidence per line."""
-    w = Window.partitionBy(doc_col).orderBy(y_col, text_col)
-    d = F.col(y_col) - F.lag(y_col).over(w)
-    lines = (frags.withColumn("_new", F.when(d > gap, 1).otherwise(0))
-             .withColumn("line_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")))
+    previous fragment exceeds ``gap``; then joined text (in y order) and mean confidence per line.
+    Gaps and line numbers are scanned over ranges of (document, y), so a document that holds most fragments is
+    spread over tasks; only one line's fragments are gathered."""
+    seen = running(frags, [doc_col], [y_col, text_col], previous={"_y": y_col})
+    seen = seen.withColumn("_new", F.when(F.col(y_col) - F.col("_y") > gap, 1).otherwise(0))
+    lines = running(seen, [doc_col], [y_col, text_col], sums={"line_no": F.col("_new")}).withColumn("line_no", F.col("line_no").cast("int"))
     return (lines.groupBy(doc_col, "line_no")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(y_col, text_col))),
                                           lambda s: s[text_col]), " ").alias("text"),
