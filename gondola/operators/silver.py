@@ -53,7 +53,8 @@ def dedupe_chains(chains: DataFrame) -> DataFrame:
 
 def best_stores(products: DataFrame, stores: DataFrame, chains: DataFrame,
                 areas: Sequence[str], localities: Sequence[str]) -> DataFrame:
-    """Representative store per chain × area group × week (WIN-1), ties to the smallest store id."""
+    """Representative store per chain × area group × week (WIN-1), ties to the smallest store id. Stores with
+    a ``week_date`` of their own meet the products of that week only (pin D3)."""
     areas = [a.lower() for a in areas]
     localities = [x.lower() for x in localities]
     st = (stores.join(dedupe_chains(chains), "id_comercio", "inner")
@@ -63,7 +64,8 @@ def best_stores(products: DataFrame, stores: DataFrame, chains: DataFrame,
               .agg(F.count("id_producto").alias("product_count")))
     w = Window.partitionBy("id_comercio", "barrio_group", "week_date").orderBy(
         F.col("product_count").desc(), F.col("id_sucursal").asc())
-    return (st.join(counts, ["id_sucursal", "id_comercio"], "inner")
+    on = ["id_sucursal", "id_comercio"] + (["week_date"] if "week_date" in stores.columns else [])
+    return (st.join(counts, on, "inner")
             .withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") == 1)
             .drop("rank"))

@@ -231,13 +231,59 @@ def unclassified_tracking(t):
     return quality.unclassified_tracking(_staged(t), CATCH_ALL_ID)
 
 
-@register("convergence_metrics", None, ids="PIP-26 PIP-25 SNK-12 SNK-3")
+#: Every fifth vector is gold; four batches, centroids refreshed after every second one.
+LOOP_GOLD, LOOP_BUCKETS, LOOP_REFRESH, LOOP_BOUNDS, LOOP_SEED = 5, 4, 2, (0.10, 0.35), 42
+
+
+def _convergence_sql() -> str:
+    """The loop unrolled: one block of CTEs per iteration, centroids merged from the sums so far."""
+    lo, hi = LOOP_BOUNDS
+    ctes = [f"""
+e AS (SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) + 1e-10 AS vn,
+        CAST('0x' || substr(md5('{LOOP_SEED}:' || vec_id), 1, 8) AS BIGINT) % {LOOP_BUCKETS} AS bucket
+      FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)),
+r0 AS (SELECT label AS id, v FROM e WHERE vec_id % {LOOP_GOLD} = 0),
+t1 AS (SELECT CAST({vectors_q.HIER_CAT} AS DOUBLE) AS thr)"""]
+
+    def unit(x):
+        return (f"SELECT id, n, CASE WHEN norm > 1e-10 THEN list_transform(c, lambda x: x / norm) ELSE c END AS centroid FROM (SELECT *, "
+                f"sqrt(list_sum(list_transform(c, lambda x: x * x))) AS norm FROM (SELECT id, any_value(n) AS n, list(t / n ORDER BY i) AS c FROM {x} GROUP BY id))")
+
+    def best(name, source):
+        return f"{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, id ASC) AS rn FROM ({source})) WHERE rn = 1)"
+
+    for it in range(1, LOOP_BUCKETS + 1):
+        k = (it - 1) // LOOP_REFRESH * LOOP_REFRESH
+        if k == it - 1:
+            rows = " UNION ALL ".join(f"SELECT id, v FROM r{j}" for j in range(k + 1))
+            ctes.append(f"""
+g{k} AS MATERIALIZED (SELECT id, i, sum(x) AS t, count(*) AS n FROM (SELECT id, unnest(generate_series(1, len(v))) AS i, unnest(v) AS x FROM ({rows})) GROUP BY id, i),
+m{k} AS (SELECT id % 3 AS id, i, sum(t) AS t, sum(n) AS n FROM g{k} GROUP BY id % 3, i),
+cat{k} AS MATERIALIZED ({unit(f"g{k}")}),
+mac{k} AS MATERIALIZED ({unit(f"m{k}")})""")
+        ctes.append(best(f"""
+mb{it}""", f"SELECT e.vec_id, e.v, e.vn, m.id, list_dot_product(e.v, m.centroid) / e.vn AS score FROM e CROSS JOIN mac{k} m "
+                   f"WHERE e.vec_id % {LOOP_GOLD} <> 0 AND e.bucket = {it - 1}"))
+        ctes.append(best(f"""
+cb{it}""", f"SELECT b.vec_id, b.v, b.score AS msim, c.id, list_dot_product(b.v, c.centroid) / b.vn AS score FROM mb{it} b JOIN cat{k} c ON c.id % 3 = b.id"))
+        ctes.append(f"""
+r{it} AS MATERIALIZED (SELECT id, v FROM cb{it} WHERE msim >= {vectors_q.HIER_MACRO} AND score >= (SELECT thr FROM t{it})),
+x{it} AS MATERIALIZED (SELECT {it} AS iteration, (SELECT count(*) FROM mb{it}) AS n, (SELECT count(*) FROM r{it}) AS n_auto, thr FROM t{it}),
+t{it + 1} AS (SELECT CASE WHEN n = 0 THEN thr ELSE round(least({hi}, greatest({lo}, CASE WHEN n_auto / n < 0.40 THEN thr - 0.05
+         WHEN n_auto / n > 0.60 THEN thr + 0.05 ELSE thr END)), 6)::DOUBLE END AS thr FROM x{it})""")
+    rows = " UNION ALL ".join(f"SELECT * FROM x{it}" for it in range(1, LOOP_BUCKETS + 1))
+    return "WITH" + ",".join(ctes) + f"""
+SELECT CAST(iteration AS INTEGER) AS iteration, n AS batch_size, n_auto AS auto_assigned, n - n_auto AS review_queue, CAST(thr AS DOUBLE) AS threshold FROM ({rows})"""
+
+
+@register("convergence_metrics", _convergence_sql(), ids="PIP-26 PIP-25 SNK-12 SNK-3 JN-5")
 def convergence_metrics(t):
-    """Rows-only: the loop over ``embeddings`` (written per iteration under spark.checkpoint.dir)."""
-    emb = t.embeddings.select("vec_id", "embedding", "label")
-    m = loop.converge(t.spark, emb, "vec_id", "embedding", vectors_q._macro_centroids(t), "id_macro",
-                      vectors_q._cat_centroids(t), "id_categoria", macro_auto=vectors_q.HIER_MACRO,
-                      category_auto=vectors_q.HIER_CAT, cat_bounds=(0.10, 0.35))
+    """The loop over ``embeddings``; what it writes lies under spark.checkpoint.dir."""
+    emb = t.embeddings.select("vec_id", "embedding", F.col("label").alias("id_categoria"))
+    macros = emb.select("id_categoria", (F.col("id_categoria") % 3).alias("id_macro"))
+    m = loop.converge(t.spark, emb.select("vec_id", "embedding"), emb.where(F.col("vec_id") % LOOP_GOLD == 0), "vec_id", "embedding", "id_categoria",
+                      macros, "id_macro", buckets=LOOP_BUCKETS, refresh_every=LOOP_REFRESH, macro_auto=vectors_q.HIER_MACRO,
+                      category_auto=vectors_q.HIER_CAT, cat_bounds=LOOP_BOUNDS, seed=LOOP_SEED)
     return m.select("iteration", "batch_size", "auto_assigned", "review_queue", "threshold")
 
 

@@ -6,13 +6,16 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from gondola.operators import vectors as V
-from gondola.plans import vectors_q
+from gondola.plans import silver_q, vectors_q
 from gondola.plans.registry import REGISTRY, register
 from gondola.plans.sql_standins import BRONZE_PRODUCTS, with_
 from gondola.session import scratch_path
 from gondola.sources import sinks, standins
 from gondola.streaming import bronze
+from gondola.streaming import silver as stream_silver
 
 FEED_RENAME = {"presentacion": "productos_unidad_medida_presentacion"}
 
@@ -52,3 +55,27 @@ def stream_classify(t):
                            f"{root}/staging", f"{root}/_chk", lambda df: classify(df))
     return spark.read.parquet(f"{root}/staging").drop("batch_id")
 
+
+def land_feeds(t, landing: str, kinds=("productos", "sucursales", "comercio")) -> None:
+    """The raw files of the three feeds: stores in every week in which they sell, chains in the first week."""
+    products = standins.bronze_products(t.lineitem, t.part)
+    first = products.select(F.min("week_date")).scalar()
+    stores = standins.bronze_stores(t.supplier, t.nation, t.region)
+    feeds = {"productos": products,
+             "sucursales": products.select("week_date", "id_sucursal", "id_comercio").distinct().join(stores, ["id_sucursal", "id_comercio"]),
+             "comercio": standins.bronze_chains(t.region).withColumn("week_date", first)}
+    for kind in kinds:
+        feed = feeds[kind].withColumnsRenamed(stream_silver.RAW_NAMES)
+        sinks.land_csv_by_date(feed.select("week_date", *stream_silver.raw_columns(kind)).repartition("week_date"), f"{landing}/{kind}")
+
+
+@register("silver_from_streams", silver_q.SILVER_SQL, ids="SRC-1 STR-1 STR-2 SNK-7 SNK-8 PIP-1")
+def silver_from_streams(t):
+    """Silver from three streams that arrive one after the other, stores last."""
+    spark = t.spark
+    root = scratch_path(spark, f"silver_from_streams/{uuid.uuid4().hex[:8]}")
+    land_feeds(t, f"{root}/landing")
+    for kind in ("productos", "comercio", "sucursales"):
+        stream_silver.ingest(spark, f"{root}/landing", root, kind)
+    stream_silver.refresh(spark, root, silver_q._AREAS, silver_q._LOCS)
+    return stream_silver.silver_table(spark, root)

@@ -76,18 +76,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def read_if_written(spark: SparkSession, path: str):
-    """The Parquet table at ``path``, or None when it holds no data file yet. A table that is there
-    but can't be read is an error, not an empty table."""
+def has_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet file lies at or below ``path``."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        return None
+        return False
     files = fs.listFiles(p, True)
     while files.hasNext():
         if files.next().getPath().getName().endswith(".parquet"):
-            return spark.read.parquet(path)
-    return None
+            return True
+    return False
+
+
+def read_if_written(spark: SparkSession, path: str):
+    """The Parquet table at ``path``, or None when it holds no data file yet. A table that is there
+    but can't be read is an error, not an empty table."""
+    return spark.read.parquet(path) if has_parquet(spark, path) else None
 
 
 def spread(df, min_partitions: int | None = None):

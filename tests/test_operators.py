@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -184,17 +185,41 @@ def test_nearest_agrees_with_brute_force_whatever_the_blocks(spark):
 
 
 def test_converge_is_resumable_and_idempotent(spark, tmp_path):
-    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").withColumn("id_macro", F.col("label") % 3)
-    cat = vectors.centroids(df, "label", "embedding", "id_categoria").withColumn("id_macro", F.col("id_categoria") % 3)
-    mac = vectors.centroids(df, "id_macro", "embedding")
-    kw = dict(macro_auto=0.1, category_auto=0.2, cat_bounds=(0.1, 0.35), run_id="r1", base_path=str(tmp_path))
-    m1 = sorted(loop.converge(spark, df, "vec_id", "embedding", mac, "id_macro", cat, "id_categoria", **kw).collect())
-    m2 = sorted(loop.converge(spark, df, "vec_id", "embedding", mac, "id_macro", cat, "id_categoria", **kw).collect())
-    assert m1 == m2                                     # second call resumes: nothing left to do
-    staged = spark.read.parquet(f"{tmp_path}/staging")
-    queued = spark.read.parquet(f"{tmp_path}/review_queue")
-    assert staged.count() == staged.select("vec_id").distinct().count()
-    assert staged.count() + queued.count() == df.count()  # every vector ends in exactly one place
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").withColumn("id_categoria", F.col("label"))
+    gold = df.where("vec_id % 4 = 0").select("vec_id", "id_categoria", "embedding")
+    macros = df.select("id_categoria", (F.col("id_categoria") % 3).alias("id_macro"))
+    items = df.select("vec_id", "embedding").union(df.select("vec_id", "embedding").limit(30))   # one row per id
+    kw = dict(macro_auto=0.1, category_auto=0.2, cat_bounds=(0.1, 0.35), run_id="r1", buckets=4, refresh_every=2)
+
+    def run(folder, **more):
+        m = loop.converge(spark, items, gold, "vec_id", "embedding", "id_categoria", macros, "id_macro", base_path=f"{tmp_path}/{folder}", **kw, **more)
+        return sorted(m.collect(), key=lambda r: r.iteration)
+
+    def rows(folder, table):
+        return sorted(map(repr, spark.read.parquet(f"{tmp_path}/{folder}/{table}").drop("run_id").collect()))
+
+    whole = run("whole")
+    assert [r.iteration for r in whole] == [1, 2, 3, 4] and run("whole") == whole   # the second call has nothing left to do
+    assert [r.iteration for r in run("stopped", max_iterations=1)] == [1]
+    assert [r.iteration for r in run("stopped", max_iterations=3)] == [1, 2, 3]
+    # a crash inside an iteration: its metrics row is missing, its other output is there
+    run("crashed", max_iterations=3)
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{tmp_path}/crashed/metrics/run_id=r1/iteration=3")
+    assert p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    for folder in ("stopped", "crashed"):
+        assert run(folder) == whole
+        for table in ("staging", "review_queue"):
+            assert rows(folder, table) == rows("whole", table)
+    staged, queued = (spark.read.parquet(f"{tmp_path}/whole/{t}") for t in ("staging", "review_queue"))
+    ids = [r.vec_id for d in (staged, queued) for r in d.select("vec_id").collect()]
+    assert len(ids) == len(set(ids)) == df.count() - gold.count()   # every vector outside gold ends in exactly one place
+    assert set(ids).isdisjoint(r.vec_id for r in gold.collect())
+    # the refreshed centroids are those of gold and all that was staged before
+    sums = spark.read.parquet(f"{tmp_path}/whole/centroid_sums")
+    both = gold.select("id_categoria", "embedding").union(staged.where("iteration <= 2").join(df.select("vec_id", "embedding"), "vec_id").select("id_categoria", "embedding"))
+    got = {r.id_categoria: r for r in loop.merge_sums(sums.where("iteration <= 2").select("id_categoria", "n", "total"), "id_categoria").collect()}
+    for r in loop.centroid_sums(both, "id_categoria", "embedding").collect():
+        assert got[r.id_categoria].n == r.n and got[r.id_categoria].total == pytest.approx(r.total)
 
 
 def test_discounts_by_code_sum_before_join(spark):
