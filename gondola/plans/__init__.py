@@ -14,3 +14,4 @@ from gondola.plans import stream_q  # noqa: F401
 from gondola.plans import archives_q  # noqa: F401
 from gondola.plans import more_q  # noqa: F401
 from gondola.plans import gold_q  # noqa: F401
+from gondola.plans import tables_q  # noqa: F401

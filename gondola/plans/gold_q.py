@@ -12,6 +12,7 @@ from gondola.operators.quality import latest_per_product
 from gondola.operators.review import PENDING
 from gondola.plans import loop_q
 from gondola.plans.catalog_q import CATEGORIES_SQL, GOLD_SQL, _full_mapping, _seed_mapping, keyword_seed_sql
+from gondola.operators.scan import numbered
 from gondola.plans.registry import register
 from gondola.plans.sql_standins import CATALOG_PRODUCTS, with_
 from gondola.sources import standins
@@ -98,4 +99,4 @@ FROM (SELECT id_categoria, id_subcategoria, count(*) AS n FROM gold GROUP BY ALL
 def category_order(t):
     counts = _full_mapping(t).groupBy("id_categoria", "id_subcategoria").agg(F.count(F.lit(1)).alias("n"))
     order = [F.col("id_categoria").asc_nulls_first(), F.col("n").desc(), F.col("id_subcategoria").asc_nulls_first()]
-    return sampling.rank_slice(counts, order, 1, len(S.CATEGORY_ROWS) ** 2)
+    return numbered(counts, order).withColumn("rank", F.col("rank").cast("int"))
