@@ -38,7 +38,7 @@ def silver_versioned(t):
 @register("table_writes", loop_q.BASE + """
 SELECT id_producto, CASE WHEN run_id <> 'run_2' THEN id_categoria END AS id_categoria, CASE WHEN run_id <> 'run_2' THEN confianza END AS confianza,
        CASE WHEN run_id = 'run_1' THEN 'iter ' || iteration END AS nota, run_id
-FROM staged WHERE run_id IN ('run_0', 'run_1', 'run_2')""", ids="SNK-1 SNK-3 SNK-4 SNK-5 DML-7")
+FROM staged WHERE run_id IN ('run_0', 'run_1', 'run_2')""", ids="SNK-1 SNK-3 SNK-4 SNK-5")
 def table_writes(t):
     """Run 0; run 1 with a new column, cut short and retried; run 2 by column list. Written twice: the same table."""
     spark = t.spark

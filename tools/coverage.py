@@ -23,13 +23,8 @@ MODULES = {
 USED_IN = {
     "SRC-4": "every key (spark.read.parquet of the driver tables, gondola/sources/tables.py)",
     "SRC-8": "seed tables (gondola/schemas.py, gondola/seeds.py) in catalog_q, loop_q, more_q",
-    "SRC-11": "loop.converge resume read (gondola/operators/loop.py `_read`), convergence_metrics",
-    "SNK-1": "gondola/sources/sinks.py overwrite_table (tests/test_sinks.py)",
-    "SNK-2": "gondola/sources/sinks.py write_version (tests/test_sinks.py)",
-    "SNK-5": "gondola/sources/sinks.py insert_overwrite (tests/test_sinks.py)",
+    "SRC-11": "session.read_if_written, in loop.converge (tests/test_operators.py)",
     "SNK-6": "Parquet outputs of convergence_metrics, stream_classify, bronze_stream",
-    "SNK-8": "silver as batch recompute + versioned overwrite (sinks.write_version)",
-    "SNK-9": "temp views: tests/test_sinks.py",
     "PRJ-1": "all keys (select / withColumnRenamed), e.g. silver_best_store, bronze_stream",
     "PRJ-11": "silver_best_store (feed columns projected before the join)",
     "PRJ-12": "receipt_json_items (`it.*`), variant_elements",
