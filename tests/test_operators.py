@@ -252,6 +252,29 @@ def test_barcode_match_regards_all_names_blocks_and_long_codes(spark):
     assert got["1234567890123456X"].sepa_price == 3.0
 
 
+def test_code_pairs_hold_every_pair_within_the_distance(spark):
+    """Codes of 0 to 40 characters, edited at random places, against brute force for k = 1, 2, 3; long pairs
+    that differ by edits in one half only, and by insertions that move the halves."""
+    rng = np.random.default_rng(11)
+    cat, pur = {"", "7", "12345678901234"}, {"", "78", "1234567890123", "12345678901234567"}
+    for n in [1, 2, 3, 11, 13, 14, 15, 16, 17, 18, 24, 40]:
+        for _ in range(8):
+            code = [str(d) for d in rng.integers(0, 3, n)]
+            cat.add("".join(code))
+            for _ in range(int(rng.integers(0, 4))):
+                at = int(rng.integers(0, len(code) + 1))
+                kind = int(rng.integers(0, 3))
+                code[at:at + (kind != 0)] = [] if kind == 2 else [str(int(rng.integers(0, 3)))]
+            pur.add("".join(code))
+    cdf = spark.createDataFrame([(x, "B") for x in sorted(cat)], "sepa_barcode string, _blk string")
+    pdf = spark.createDataFrame([(x, "B") for x in sorted(pur)], "purchase_barcode string, _blk string")
+    for k in (1, 2, 3):
+        got = {(r.purchase_barcode, r.sepa_barcode) for r in barcodes.code_pairs(pdf, cdf, k).collect()}
+        want = {(a, b) for a in pur for b in cat if a != b and lev(a, b) <= k}
+        assert want <= got, (k, sorted(want - got)[:5])
+        assert any(len(b) > 30 for _, b in want) or k == 1
+
+
 def test_repeated_catalog_codes_do_not_repeat_purchases(spark):
     from gondola.operators.receipts import load_purchases
 
