@@ -8,6 +8,8 @@ decimal-comma text; sums of money are taken in integer cents so totals are exact
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -195,3 +197,77 @@ def attach_discounts_by_code(items: DataFrame, discount_lines: DataFrame, file_c
             .withColumn("descuento", F.coalesce(F.col("_dc") / 100.0, F.lit(0.0)))
             .withColumn("precio_base", F.col("precio_pagado") + F.col("descuento"))
             .drop("_dc"))
+
+
+PROFILE_GROUPS = 4096   # element types a task holds before it hands its partial profiles on
+PROFILE_SALTS = 256     # partial profiles of one type meet in this many groups first
+
+
+def element_profile(elements: DataFrame, type_col: str, content_col: str, samples: int = 5,
+                    width: int = 100) -> DataFrame:
+    """AGG-23 / PIP-36: per element type its number, characters in all, longest content and the ``samples``
+    smallest distinct contents (first ``width`` characters), in one scan.
+
+    The state is bounded as it is built: a task keeps ``samples`` strings a type (Arrow batches, only the cut
+    contents and their lengths travel), partial profiles merge by salt and then by type, so a type that holds
+    most rows never has its contents in one place. A null type is a type of its own; a null content counts as an
+    element without characters or sample. Equal contents are one sample; an empty table gives no rows.
+    """
+    cut = elements.select(F.col(type_col).cast("string").alias("kind"),
+                          F.substring(F.col(content_col), 1, width).alias("sample"),
+                          F.coalesce(F.length(content_col), F.lit(0)).cast("long").alias("chars"))
+
+    def partial(batches):
+        state = {}
+
+        def flush():
+            keys = list(state)
+            held = [state[key] for key in keys]
+            state.clear()
+            return pa.RecordBatch.from_pydict({
+                "kind": pa.array(keys, pa.string()), "n": pa.array([h[0] for h in held], pa.int64()),
+                "chars": pa.array([h[1] for h in held], pa.int64()), "longest": pa.array([h[2] for h in held], pa.int64()),
+                "samples": pa.array([h[3] for h in held], pa.list_(pa.string()))})
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            sums = table.group_by("kind").aggregate([([], "count_all"), ("chars", "sum"), ("chars", "max")])
+            for kind, n, chars, longest in zip(*(sums.column(c).to_pylist()
+                                                 for c in ("kind", "count_all", "chars_sum", "chars_max"))):
+                old = state.get(kind, (0, 0, 0, []))
+                state[kind] = (old[0] + n, old[1] + chars, max(old[2], longest), old[3])
+            given = table.filter(pc.is_valid(table.column("sample"))).group_by(["kind", "sample"]).aggregate([])
+            given = given.sort_by([("kind", "ascending"), ("sample", "ascending")])
+            taken = {}
+            for kind, sample in zip(given.column("kind").to_pylist(), given.column("sample").to_pylist()):
+                new = taken.setdefault(kind, [])
+                if len(new) < samples:
+                    new.append(sample)
+            for kind, new in taken.items():
+                n, chars, longest, old = state[kind]
+                merged = sorted(set(old) | set(new), key=lambda v: v.encode())
+                state[kind] = (n, chars, longest, merged[:samples])
+            if len(state) > PROFILE_GROUPS:
+                yield flush()
+        if state:
+            yield flush()
+
+    def merge(df: DataFrame, *keys: str) -> DataFrame:
+        least = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("samples")))), 1, samples)
+        return df.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"),
+                                     F.max("longest").alias("longest"), least.alias("samples"))
+
+    parts = cut.mapInArrow(partial, "kind string, n long, chars long, longest long, samples array<string>")
+    salted = parts.withColumn("_salt", F.spark_partition_id() % PROFILE_SALTS)
+    return merge(merge(salted, "kind", "_salt"), "kind").withColumnRenamed("kind", type_col)
+
+
+def full_texts(elements: DataFrame, file_col: str, pos_col: str, type_col: str, content_col: str,
+               kind: str = "text") -> DataFrame:
+    """PIP-36: per file the contents of the elements of type ``kind`` in page order, one a line, with the length
+    and the number of elements. Null contents are left out of the text but counted; equal positions go by content."""
+    piece = F.struct(F.col(pos_col).alias("p"), F.col(content_col).alias("c"))
+    return (elements.filter(F.col(type_col) == kind).groupBy(file_col)
+            .agg(F.count(F.lit(1)).alias("elements"), F.array_sort(F.collect_list(piece)).alias("_e"))
+            .select(file_col, "elements", F.array_join(F.transform("_e", lambda e: e["c"]), "\n").alias("full_text"))
+            .withColumn("text_length", F.length("full_text").cast("long")))

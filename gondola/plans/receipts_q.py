@@ -207,6 +207,62 @@ def barcode_apply(t):
     return B.apply_corrections(_purchases(t), _candidates(t))
 
 
+_TIER_SQL = "CASE confidence WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 ELSE 1 END"
+
+
+@register("barcode_summary", BASE + CAND_SQL + f"""
+, marked AS (SELECT confidence, CASE WHEN confidence = 'HIGH' AND status = 'PENDING' THEN 'APPLIED' ELSE status END AS status,
+                    affected_count FROM best)
+SELECT confidence, status, count(*) AS n, CAST(sum(affected_count) AS BIGINT) AS affected, {_TIER_SQL} AS tier_rank
+FROM marked GROUP BY confidence, status""", ids="PIP-44 DML-11 AGG-1 SCA-26")
+def barcode_summary(t):
+    """Corrections by tier and status once the HIGH ones are marked as applied."""
+    return B.correction_summary(B.mark_applied(_candidates(t)))
+
+
+@register("barcode_marked", BASE + CAND_SQL + """
+, clock AS (SELECT CAST(max(o_orderdate) AS TIMESTAMP) AS now FROM orders)
+SELECT purchase_barcode, corrected_barcode, confidence, CASE WHEN confidence = 'HIGH' THEN 'APPLIED' ELSE status END AS status,
+       CASE WHEN confidence = 'HIGH' THEN now END AS applied_at FROM best, clock""", ids="DML-11 SCA-17")
+def barcode_marked(t):
+    """Corrections with their status once the HIGH ones are applied; the clock is the last order's date."""
+    now = t.orders.agg(F.max("o_orderdate").cast("timestamp").alias("now")).scalar()
+    return B.mark_applied(_candidates(t), now).select("purchase_barcode", "corrected_barcode", "confidence", "status", "applied_at")
+
+
+@register("barcode_review", BASE + CAND_SQL + f"""
+SELECT purchase_barcode, corrected_barcode, purchase_name, sepa_name, name_match_score,
+       CAST(barcode_distance AS INTEGER) AS barcode_distance, confidence, sepa_price, purchase_price, affected_count, status,
+       {_TIER_SQL} AS tier_rank
+FROM best WHERE confidence <> 'HIGH' AND status = 'PENDING'""", ids="PIP-44")
+def barcode_review(t):
+    """Corrections left for review after the HIGH ones were applied."""
+    return B.review_list(B.mark_applied(_candidates(t)))
+
+
+@register("receipt_profile", """
+WITH e AS (SELECT role AS element_type, text AS content FROM conversations),
+s AS (SELECT element_type, s, row_number() OVER (PARTITION BY element_type ORDER BY s) AS r
+      FROM (SELECT DISTINCT element_type, substr(content, 1, 100) AS s FROM e WHERE content IS NOT NULL)),
+t AS (SELECT element_type, list(s ORDER BY s) AS samples FROM s WHERE r <= 5 GROUP BY element_type)
+SELECT e.element_type, count(*) AS n, CAST(sum(coalesce(length(content), 0)) AS BIGINT) AS chars,
+       max(coalesce(length(content), 0)) AS longest, any_value(coalesce(t.samples, [])) AS samples
+FROM e LEFT JOIN t ON e.element_type IS NOT DISTINCT FROM t.element_type GROUP BY e.element_type""", ids="AGG-23 PIP-36")
+def receipt_profile(t):
+    """Profile of element types over the turns of all conversations (type = role)."""
+    c = t.conversations.select(F.col("role").alias("element_type"), F.col("text").alias("content"))
+    return R.element_profile(c, "element_type", "content")
+
+
+@register("receipt_text", """
+SELECT conv_id, count(*) AS elements, coalesce(string_agg(text, chr(10) ORDER BY turn, text), '') AS full_text,
+       CAST(length(coalesce(string_agg(text, chr(10) ORDER BY turn, text), '')) AS BIGINT) AS text_length
+FROM conversations WHERE role = 'user' GROUP BY conv_id""", ids="PIP-36")
+def receipt_text(t):
+    """Full text and length per document of its elements of one type."""
+    return R.full_texts(t.conversations, "conv_id", "turn", "role", "text", kind="user")
+
+
 @register("receipt_weight_fix", f"""
 WITH it AS (
   SELECT l.l_orderkey AS ticket_id, l.l_linenumber, l.l_partkey, p.p_name AS producto,

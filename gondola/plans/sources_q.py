@@ -88,6 +88,20 @@ def html_links(t):
     return formats.html_links(t.pages)
 
 
+@register("html_block_links", r"""
+WITH p AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g') AS h
+           FROM pages),
+b AS (SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS block, unnest(l) AS body
+      FROM (SELECT page_id, regexp_extract_all(h, '(?is)<nav[^>]*>(.*?)</nav>', 1) AS l FROM p)),
+x AS (SELECT page_id, block, trim(regexp_extract('>' || body, '>\s*([^<\s][^<]*)', 1)) AS heading,
+             list_filter(regexp_extract_all(body, '(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|''[^'']*'')', 1),
+                         lambda q: contains(q, '/t'))[1] AS q FROM b)
+SELECT page_id, block, nullif(heading, '') AS heading, substr(q, 2, length(q) - 2) AS link FROM x WHERE q IS NOT NULL""", ids="SRC-7")
+def html_block_links(t):
+    """First text and first link with /t of every navigation block."""
+    return formats.block_links(t.pages, "nav", None, None, "/t")
+
+
 _EMAIL_SQL = """
 SELECT c_custkey, email, coalesce(regexp_full_match(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$'), false)
        AS is_valid

@@ -47,17 +47,58 @@ def html_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
                     F.expr("substring(href, 2, length(href) - 2)").alias("href")))
 
 
-def block_download_links(pages: DataFrame, label: str, id_col: str = "page_id",
-                         html_col: str = "html") -> DataFrame:
-    """SRC-7 (block form): inside a ``<div class="pkg-container">`` block whose heading text equals
-    ``label``, the first ``href`` containing ``/download/``. Regex over the block text; one row per
-    page that has such a block."""
-    blocks = F.regexp_extract_all(F.col(html_col), F.lit(r'(?s)<div class="pkg-container">(.*?)</div>'), 1)
-    pick = F.filter(blocks, lambda b: F.regexp_extract(b, r"<h[1-6][^>]*>\s*([^<]*?)\s*</h[1-6]>", 1) == F.lit(label))
-    first = F.element_at(pick, 1)
-    link = F.regexp_extract(first, r'href="([^"]*/download/[^"]*)"', 1)
-    return (pages.select(id_col, link.alias("link"))
-            .filter(F.col("link").isNotNull() & (F.col("link") != "")))
+def block_links(pages: DataFrame, tag: str = "div", cls: str | None = "pkg-container", label: str | None = None,
+                href_part: str = "/download/", id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """SRC-7 (block form): (id, block, heading, link) of the containers ``<tag class=cls>`` of each page.
+
+    heading: the container's first text, or ``label`` where one of its trimmed texts equals it; containers
+    without the label are left out when one is given. link: the first ``<a href>`` in it that holds
+    ``href_part``; containers without such a link are left out. A text or link belongs to the innermost
+    container around it. ``cls`` is one of the class names, None takes every ``tag``. block counts a page's
+    containers from 0 in page order.
+
+    A page becomes rows of tags and texts, shuffled by page once. The nesting depth of ``tag`` is a running sum
+    over them; an open tag ends at the next event of its depth, whatever lies between. The depth among containers
+    is a second running sum, and a text belongs to the last container opened at its depth: no join of texts with
+    containers. An unclosed container reaches to the end of the page. Comments, scripts and styles are dropped
+    first; pages without ``tag`` never leave the scan. References stay as written, a ``>`` inside an attribute ends
+    its tag. Null or empty html gives no rows.
+    """
+    name = tag.lower()
+    dull = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    pieces = F.regexp_extract_all(F.regexp_replace(F.col(html_col), dull, ""), F.lit(r"(?s)<[^>]*>|[^<]+"), 0)
+    bare = F.lower(F.regexp_extract("piece", r"^<(/?[A-Za-z][A-Za-z0-9]*)", 1))
+    classes = F.regexp_extract("piece", r"""(?is)\sclass\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", 1)
+    quoted = F.regexp_extract("piece", HREF_RE.replace("href", r"\shref"), 1)
+    opens = bare == name
+    wanted = opens if cls is None else opens & F.array_contains(F.split(F.regexp_replace(classes, "[\"']", ""), r"\s+"), cls)
+    text = F.trim(F.regexp_replace("piece", r"^\s+|\s+$", ""))
+    events = (pages.filter(F.lower(html_col).contains("<" + name)).select(id_col, F.posexplode(pieces).alias("pos", "piece"))
+              .select(id_col, "pos", F.when(opens, 1).when(bare == "/" + name, -1).otherwise(0).alias("step"),
+                      wanted.alias("wanted"),
+                      F.when(~F.col("piece").startswith("<"), F.nullif(text, F.lit(""))).alias("text"),
+                      F.when((bare == "a") & (quoted != ""), F.substring(quoted, F.lit(2), F.length(quoted) - 2)).alias("href"))
+              .filter((F.col("step") != 0) | F.col("text").isNotNull() | F.col("href").contains(href_part)))
+    page = Window.partitionBy(id_col).orderBy("pos")
+    running = page.rowsBetween(Window.unboundedPreceding, 0)
+    # an open tag and the close that ends it have one level: the depth after the open, before the close
+    level = F.sum("step").over(running) + F.when(F.col("step") < 0, 1).otherwise(0)
+    events = events.withColumn("level", level).withColumn("is_tag", F.col("step") != 0)
+    before = F.lag("wanted").over(Window.partitionBy(id_col, "level", "is_tag").orderBy("pos"))
+    ended = (F.col("step") < 0) & F.coalesce(before, F.lit(False))
+    events = (events.withColumn("depth", F.when(F.col("wanted"), 1).when(ended, -1).otherwise(0))
+              .withColumn("depth", F.sum("depth").over(running))
+              .withColumn("block", F.when(F.col("wanted"), F.sum(F.col("wanted").cast("int")).over(running) - 1)))
+    last = F.last("block", ignorenulls=True).over(
+        Window.partitionBy(id_col, "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    inner = (events.withColumn("block", F.when(F.col("depth") > 0, last).cast("int"))
+             .filter("not is_tag and block is not null").select(id_col, "block", "pos", "text", "href"))
+    heading = F.min_by("text", F.when(F.col("text").isNotNull(), F.col("pos")))
+    link = F.min_by("href", F.when(F.col("href").contains(href_part), F.col("pos")))
+    if label is not None:
+        heading = F.max(F.when(F.col("text") == label, F.col("text")))
+    out = inner.groupBy(id_col, "block").agg(heading.alias("heading"), link.alias("link")).filter("link IS NOT NULL")
+    return out if label is None else out.filter("heading IS NOT NULL")
 
 
 def parse_status(docs: DataFrame, id_col: str, error_col: str) -> DataFrame:
