@@ -102,6 +102,27 @@ def load_purchases(items: DataFrame, dates: DataFrame, catalog: DataFrame, file_
                     F.col(file_col).alias("source_file"), F.lit(default_confidence).alias("confidence")))
 
 
+def load_parsed_purchases(items: DataFrame, catalog: DataFrame, store_col: str = "comercio", id_col: str = "ticket_id",
+                          default_confidence: str = "0.90") -> DataFrame:
+    """PIP-42, parsed answers: purchases with quantity, unit, unit price and store. The date is text yyyy-mm-dd (else
+    null), money is DECIMAL(12,2) and the confidence DECIMAL(3,2) (SCA-19), a missing one the default; the barcode
+    matches the catalog from the left, each code once. Rows without name or price are gated out."""
+    money_type, n = "decimal(12,2)", F.count(F.lit(1))
+    codes = catalog.filter(F.col("id_producto").isNotNull()).groupBy(F.col("id_producto").alias("barcode")).agg(
+        n.alias("_n")).select("barcode", F.col("barcode").alias("id_producto"))
+    given = F.col("confidence") if "confidence" in items.columns else F.lit(None)
+    paid = F.col("precio_final").cast(money_type)
+    disc = F.coalesce(F.col("descuento"), F.lit(0.0)).cast(money_type)
+    return (items.join(codes, "barcode", "left")
+            .filter((F.coalesce(F.col("producto"), F.lit("")) != "") & F.col("precio_final").isNotNull())
+            .select(id_col, F.expr("try_to_date(fecha, 'yyyy-MM-dd')").alias("fecha"), "id_producto", "producto",
+                    F.col("cantidad").cast("decimal(12,3)").alias("cantidad"), "unidad",
+                    F.col("precio_unitario").cast(money_type).alias("precio_unitario"), paid.alias("precio_pagado"),
+                    (paid + disc).cast(money_type).alias("precio_base"), disc.alias("descuento"),
+                    F.col("barcode").alias("barcode_ean13"), F.col(store_col).alias("id_comercio"),
+                    F.coalesce(given.cast("decimal(3,2)"), F.lit(default_confidence).cast("decimal(3,2)")).alias("confidence")))
+
+
 def ticket_summary(purchases: DataFrame) -> DataFrame:
     """PIP-47: per date × ticket × file — items, total paid, saved, saved % (safe ratio, AGG-21),
     matched items. Money sums in integer cents; the percentage is rounded at the integer step."""

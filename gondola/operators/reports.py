@@ -43,6 +43,15 @@ def category_top(mapping: DataFrame, categories: DataFrame, n: int = 20) -> Data
             .limit(n))
 
 
+def method_breakdown(mapping: DataFrame) -> DataFrame:
+    """PIP-5: classified products by method and state: number, share of all, mean, least and highest confidence."""
+    estado = F.when(F.col("id_categoria").isNull(), "SIN CLASIFICAR").otherwise("CLASIFICADO")
+    return (mapping.groupBy("metodo", estado.alias("estado"))
+            .agg(F.count(F.lit(1)).alias("total"), F.round(F.avg("confianza"), 2).alias("confianza_promedio"),
+                 F.min("confianza").alias("confianza_min"), F.max("confianza").alias("confianza_max"))
+            .withColumn("porcentaje", share("total")))
+
+
 def normalise_taxonomy(mapping: DataFrame, categories: DataFrame, remap: DataFrame,
                        renames: DataFrame) -> tuple[DataFrame, DataFrame]:
     """PIP-53: merge duplicate categories (remap old→kept on both levels of the mapping) and rename.

@@ -117,6 +117,36 @@ def pattern_assign(t):
     return rules.assign_by_pattern(_seed_mapping(t), _products(t), S.PATTERN_RULES)
 
 
+_ASSIGNED_SQL = """
+assigned AS (SELECT CASE WHEN s.id_producto IS NOT NULL AND m.id_categoria IS NULL THEN s.pc ELSE m.id_categoria END AS id_categoria,
+                    CASE WHEN s.id_producto IS NOT NULL AND m.id_categoria IS NULL THEN s.pm ELSE m.metodo END AS metodo,
+                    CASE WHEN s.id_producto IS NOT NULL AND m.id_categoria IS NULL THEN s.pf ELSE m.confianza END AS confianza
+             FROM mapping m LEFT JOIN src s ON m.id_producto = s.id_producto)"""
+
+
+@register("method_breakdown", with_(CATALOG_PRODUCTS, keyword_seed_sql(), _pattern_sql(), _ASSIGNED_SQL) + """
+SELECT metodo, estado, total, confianza_promedio, confianza_min, confianza_max,
+       round(total * 100.0 / sum(total) OVER (), 2) AS porcentaje
+FROM (SELECT metodo, CASE WHEN id_categoria IS NULL THEN 'SIN CLASIFICAR' ELSE 'CLASIFICADO' END AS estado, count(*) AS total,
+             round(avg(confianza), 2) AS confianza_promedio, min(confianza) AS confianza_min, max(confianza) AS confianza_max
+      FROM assigned GROUP BY 1, 2)""", ids="PIP-5 AGG-13 WIN-5")
+def method_breakdown(t):
+    return reports.method_breakdown(rules.assign_by_pattern(_seed_mapping(t), _products(t), S.PATTERN_RULES))
+
+
+@register("category_top15", with_(CATALOG_PRODUCTS, keyword_seed_sql(), _pattern_sql(), _ASSIGNED_SQL, CATEGORIES_SQL) + """
+SELECT categoria, productos, confianza_avg, porcentaje FROM (
+  SELECT c.nombre AS categoria, a.productos, round(a.s / a.productos, 2) AS confianza_avg,
+         round(a.productos * 100.0 / sum(a.productos) OVER (), 2) AS porcentaje
+  FROM (SELECT id_categoria, count(*) AS productos, sum(confianza) AS s FROM assigned
+        WHERE id_categoria IS NOT NULL GROUP BY id_categoria) a
+  JOIN categories c ON a.id_categoria = c.id_categoria)
+ORDER BY productos DESC, categoria ASC LIMIT 15""", ids="PIP-5 ORD-2 AGG-13 JN-14")
+def category_top15(t):
+    """Top 15 of the mapping after the pattern rules."""
+    return reports.category_top(rules.assign_by_pattern(_seed_mapping(t), _products(t), S.PATTERN_RULES), S.categories_df(t.spark), 15)
+
+
 def _reassign_sql():
     by_parent = {}
     for parent, pat, sub, order, excl in S.SUBCATEGORY_RULES:

@@ -139,6 +139,21 @@ def ticket_summary(t):
     return R.ticket_summary(_purchases(t))
 
 
+@register("receipt_discounts", BASE + f"""
+, dl AS (SELECT file, code10 AS product_id, sum(disc) AS dc FROM it2 WHERE l_discount >= 0.05 GROUP BY file, code10)
+SELECT i.file, i.pos, i.producto, i.product_id, i.barcode, i.next_line_is_promo, i.precio_pagado,
+       coalesce(d.dc / 100.0, 0.0) AS descuento, i.precio_pagado + coalesce(d.dc / 100.0, 0.0) AS precio_base, i.price_source
+FROM items i LEFT JOIN dl d ON i.file = d.file AND i.product_id = d.product_id""", ids="PIP-39 JN-13")
+def receipt_discounts(t):
+    """Items with the discount of their internal code, from discount lines ``DTO code10 -amount``."""
+    li = t.lineitem.filter("l_discount >= 0.05")
+    cents = F.round(F.col("l_extendedprice") * F.col("l_discount") * 100).cast("long")
+    text = F.concat(F.lit("DTO "), F.lpad(F.col("l_partkey").cast("string"), 10, "0"), F.lit(" -"), standins.money_text(cents))
+    lines = li.select(F.concat(F.lit("ticket_"), F.col("l_orderkey").cast("string"), F.lit(".jpg")).alias("file"), text.alias("line_text"))
+    return R.attach_discounts_by_code(_items(t), lines).select(
+        "file", "pos", "producto", "product_id", "barcode", "next_line_is_promo", "precio_pagado", "descuento", "precio_base", "price_source")
+
+
 @register("barcode_prefix", BASE + """
 SELECT ticket_id, source_file, barcode_ean13,
        CASE WHEN length(barcode_ean13) = 14 AND starts_with(barcode_ean13, '0') THEN substr(barcode_ean13, 2, 13)
@@ -182,11 +197,11 @@ def _sepa(t):
                     F.col("precio").alias("sepa_price"))
 
 
-def _candidates(t):
+def _candidates(t, min_common=2):
     p = _purchases(t).select(F.col("producto").alias("purchase_name"),
                              F.col("barcode_ean13").alias("purchase_barcode"),
                              F.col("precio_pagado").alias("purchase_price"))
-    return B.barcode_candidates(p, _sepa(t))
+    return B.barcode_candidates(p, _sepa(t), min_common=min_common)
 
 
 @register("barcode_candidates", BASE + CAND_SQL + """
@@ -210,14 +225,14 @@ def barcode_apply(t):
 _TIER_SQL = "CASE confidence WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 ELSE 1 END"
 
 
-@register("barcode_summary", BASE + CAND_SQL + f"""
+@register("barcode_summary", BASE + CAND_SQL.replace("common_words >= 2", "common_words >= 1") + f"""
 , marked AS (SELECT confidence, CASE WHEN confidence = 'HIGH' AND status = 'PENDING' THEN 'APPLIED' ELSE status END AS status,
                     affected_count FROM best)
 SELECT confidence, status, count(*) AS n, CAST(sum(affected_count) AS BIGINT) AS affected, {_TIER_SQL} AS tier_rank
 FROM marked GROUP BY confidence, status""", ids="PIP-44 DML-11 AGG-1 SCA-26")
 def barcode_summary(t):
     """Corrections by tier and status once the HIGH ones are marked as applied."""
-    return B.correction_summary(B.mark_applied(_candidates(t)))
+    return B.correction_summary(B.mark_applied(_candidates(t, 1)))
 
 
 @register("barcode_marked", BASE + CAND_SQL + """
@@ -230,14 +245,14 @@ def barcode_marked(t):
     return B.mark_applied(_candidates(t), now).select("purchase_barcode", "corrected_barcode", "confidence", "status", "applied_at")
 
 
-@register("barcode_review", BASE + CAND_SQL + f"""
+@register("barcode_review", BASE + CAND_SQL.replace("common_words >= 2", "common_words >= 1") + f"""
 SELECT purchase_barcode, corrected_barcode, purchase_name, sepa_name, name_match_score,
        CAST(barcode_distance AS INTEGER) AS barcode_distance, confidence, sepa_price, purchase_price, affected_count, status,
        {_TIER_SQL} AS tier_rank
 FROM best WHERE confidence <> 'HIGH' AND status = 'PENDING'""", ids="PIP-44")
 def barcode_review(t):
-    """Corrections left for review after the HIGH ones were applied."""
-    return B.review_list(B.mark_applied(_candidates(t)))
+    """Corrections left for review after the HIGH ones were applied; names may share one word only."""
+    return B.review_list(B.mark_applied(_candidates(t, 1)))
 
 
 @register("receipt_profile", """

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gondola.operators import receipts
 from gondola.sources import formats
-from gondola.sources.standins import barcode_of, unit_cents
+from gondola.sources.standins import barcode_of, catalog_prices, unit_cents
 from gondola.plans.registry import register
 
 
@@ -55,6 +56,24 @@ def receipt_json_items(t):
     return formats.receipt_items_from_json(_receipt_answers(t), "ticket_id", "answer")
 
 
+@register("purchases_parsed", """
+WITH x AS (SELECT o.o_orderkey, o.o_orderdate, o.o_custkey, l.*, p.p_name,
+                  CAST(l.l_extendedprice AS DECIMAL(12,2)) AS paid,
+                  CAST(round(l.l_extendedprice * l.l_discount * 100) / 100.0 AS DECIMAL(12,2)) AS disc
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT o_orderkey AS ticket_id, CAST(o_orderdate AS DATE) AS fecha, '779' || lpad(CAST(l_partkey AS VARCHAR), 10, '0') AS id_producto,
+       p_name AS producto, CAST(l_quantity AS DECIMAL(12,3)) AS cantidad, 'un' AS unidad,
+       CAST((CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT)) / 100.0 AS DECIMAL(12,2)) AS precio_unitario,
+       paid AS precio_pagado, CAST(paid + disc AS DECIMAL(12,2)) AS precio_base, disc AS descuento,
+       '779' || lpad(CAST(l_partkey AS VARCHAR), 10, '0') AS barcode_ean13, 'cadena ' || CAST(o_custkey % 5 AS VARCHAR) AS id_comercio,
+       CAST(0.90 AS DECIMAL(3,2)) AS confidence
+FROM x""", ids="PIP-42 SCA-19 JN-3 PRJ-13")
+def purchases_parsed(t):
+    """Purchases of the parsed JSON answers, with quantity, unit, unit price and store."""
+    items = formats.receipt_items_from_json(_receipt_answers(t), "ticket_id", "answer")
+    return receipts.load_parsed_purchases(items, catalog_prices(t.part))
+
+
 @register("variant_elements", """
 SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos,
        role AS element_type, text AS content FROM conversations""", ids="SCA-25 PIP-36 SCA-23")
