@@ -3,8 +3,6 @@
 Rule lists are parameter data of fixed, small size (tens of entries). They compile into one
 projection — a CASE chain in rule order — so a whole rule list costs one narrow pass over the
 catalog: no join, no shuffle, whole-stage codegen (the reference ran one scan per rule and a UNION).
-For rule *tables* too large for one expression, ``classify_by_rule_table`` does the same with a
-broadcast rule table and one aggregate.
 """
 
 from __future__ import annotations
@@ -50,23 +48,6 @@ def keyword_seed(products: DataFrame, rules: Sequence[tuple[int, Sequence[str]]]
         conf.cast("double").alias("confianza"))
 
 
-def classify_by_rule_table(products: DataFrame, rules: DataFrame, name_col: str = "producto") -> DataFrame:
-    """Same first-hit semantics with a rule *table* ``(rule_order, id_categoria, keyword)``.
-
-    The rule table is seed-sized and broadcast; the containment test is a broadcast nested-loop
-    join evaluated map-side, and the per-product pick is a ``min_by`` over rule order.
-    """
-    hits = (products.select("id_producto", _lname(name_col).alias("_n"))
-            .join(F.broadcast(rules), F.instr(F.col("_n"), F.col("keyword")) > 0, "inner")
-            .groupBy("id_producto", "rule_order", "id_categoria").agg(F.count(F.lit(1)).alias("hits"))
-            .groupBy("id_producto")
-            .agg(F.min_by(F.struct("id_categoria", "hits"), F.col("rule_order")).alias("b")))
-    return (products.select("id_producto").join(hits, "id_producto", "left")
-            .select("id_producto", F.col("b.id_categoria").cast("long").alias("id_categoria"),
-                    F.round(F.coalesce(F.least(F.lit(0.7) + F.lit(0.1) * F.col("b.hits"), F.lit(0.95)),
-                                       F.lit(0.0)), 2).alias("confianza")))
-
-
 def first_pattern(name: Column, patterns: Sequence[tuple[str, object]]) -> Column:
     """Index-free first-match pick: value of the first pattern contained in ``name`` (or NULL)."""
     out = F.lit(None)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gondola import schemas as S
+from gondola import schemas as S, seeds
 from gondola.operators import reports, rules
 from gondola.plans.registry import register
 from gondola.plans.sql_standins import CATALOG_PRODUCTS, with_
@@ -74,6 +74,23 @@ def keyword_first(t):
     return rules.keyword_seed(_products(t), S.KEYWORD_RULES, fixed_confidence=0.80)
 
 
+_GROCERY = list(enumerate(seeds.GROCERY_KEYWORDS.values(), start=1))   # categories numbered in rule order
+
+
+@register("grocery_keywords", f"""
+WITH d AS (SELECT doc_id, lower(text) AS n FROM documents),
+h AS (SELECT doc_id, [{", ".join(" + ".join(f"CAST(instr(n, {_q(k)}) > 0 AS INTEGER)" for k in kws) for _, kws in _GROCERY)}] AS hits
+      FROM d),
+f AS (SELECT doc_id, hits, list_position(list_transform(hits, lambda x: x > 0), true) AS first FROM h)
+SELECT CAST(doc_id AS VARCHAR) AS id_producto, CAST(nullif(first, 0) AS BIGINT) AS id_categoria, CAST(NULL AS BIGINT) AS id_subcategoria,
+       'regla' AS metodo, CAST(CASE WHEN first > 0 THEN round(least(0.7 + 0.1 * hits[first], 0.95), 2) ELSE 0.0 END AS DOUBLE) AS confianza
+FROM f""", ids="PIP-3 SCA-21")
+def grocery_keywords(t):
+    """The original keyword rules over the document texts."""
+    texts = t.documents.select(F.col("doc_id").cast("string").alias("id_producto"), F.col("text").alias("producto"))
+    return rules.keyword_seed(texts, _GROCERY)
+
+
 @register("coverage_report", with_(CATALOG_PRODUCTS, keyword_seed_sql()) + """
 SELECT estado, total, confianza_promedio, round(total * 100.0 / sum(total) OVER (), 2) AS porcentaje
 FROM (SELECT CASE WHEN id_categoria IS NULL THEN 'SIN CLASIFICAR' ELSE 'CLASIFICADO' END AS estado,

@@ -119,6 +119,31 @@ def mapping_maintenance(t):
     return mutate.update_where_in(m, target, "id_producto", {"id_subcategoria": F.lit(41).cast("long")})  # DML-5
 
 
+def _load_letters():
+    """An encoder as a user would plug one in: the share of each letter a to z in a text."""
+    import numpy as np
+
+    def encode(texts):
+        out = np.zeros((len(texts), 26))
+        for i, text in enumerate(texts):
+            codes = np.frombuffer(text.lower().encode(), np.uint8).astype(int) - ord("a")
+            out[i] = np.bincount(codes[(codes >= 0) & (codes < 26)], minlength=26) / max(1, len(text))
+        return out
+
+    return encode
+
+
+@register("embed_plugged", with_(CATALOG_PRODUCTS) + """
+SELECT id_producto, 'letters_26' AS encoder,
+       list_transform(range(97, 123), lambda c: round((length(producto) - length(replace(lower(producto), chr(CAST(c AS INTEGER)), '')))
+                                                      / greatest(1, length(producto)), 9)) AS vector
+FROM catalog_products""", ids="UDF-4")
+def embed_plugged(t):
+    """Vectors of an encoder given by the caller, loaded once per Python worker."""
+    v = encoders.embed_with(_products(t), "id_producto", "producto", "letters_26", _load_letters, 26)
+    return v.withColumn("vector", F.transform("vector", lambda x: F.round(x, 9)))
+
+
 DIMS = 64
 
 
