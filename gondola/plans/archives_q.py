@@ -1,7 +1,7 @@
-"""Query key ``archive_expand``: weekly feed files are packed the way the source publishes them
-(outer ZIP per year -> inner ZIP per week, named with the date -> productos / sucursales / comercio
-CSVs, the chains file with a UTF-8 BOM), then expanded and landed per date with Spark, and the
-landed rows are counted per week and kind."""
+"""Query key ``archive_expand``: feed lines are packed the way the source publishes them (outer ZIP ->
+inner ZIP named with the date -> productos / sucursales / comercio CSV, the chains file with a UTF-8
+BOM), in archives of bounded size, then expanded and landed per date with Spark, and the landed rows
+are counted per week and kind."""
 
 from __future__ import annotations
 
@@ -25,6 +25,10 @@ COLUMNS = {
 }
 
 
+#: Lines of one archive, about; a week with more of one kind is published in several.
+ARCHIVE_LINES = 20_000
+
+
 def _line(cols):
     return F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in cols])
 
@@ -43,20 +47,20 @@ def _feed_lines(t):
     return prod.unionByName(stores).unionByName(chains)
 
 
-def _inner_zip(pdf: pd.DataFrame) -> pd.DataFrame:
-    week = pdf["week_date"].iloc[0]
-    members = {}
-    for kind, cols in COLUMNS.items():
-        body = sorted(pdf.loc[pdf["kind"] == kind, "line"])
-        text = "\n".join(["|".join(cols)] + body) + "\n"
-        members[f"{kind}.csv"] = (("\ufeff" if kind == "comercio" else "") + text).encode("utf-8")
-    return pd.DataFrame({"year": [week[:4]], "name": [f"sepa_{week}.zip"], "data": [archives.build_zip(members)]})
+def _archive(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One archive of a part's lines: outer ZIP -> inner ZIP named with the week -> the kind's CSV."""
+    week, kind, part = (pdf[c].iloc[0] for c in ("week_date", "kind", "part"))
+    text = "\n".join(["|".join(COLUMNS[kind]), *sorted(pdf["line"])]) + "\n"
+    body = (("\ufeff" if kind == "comercio" else "") + text).encode("utf-8")
+    inner = archives.build_zip({f"{kind}.csv": body})
+    return pd.DataFrame({"path": [f"sepa_{week}_{kind}_{part}.zip"], "content": [archives.build_zip({f"sepa_{week}.zip": inner})]})
 
 
-def _outer_zip(pdf: pd.DataFrame) -> pd.DataFrame:
-    year = pdf["year"].iloc[0]
-    data = archives.build_zip({n: bytes(d) for n, d in zip(pdf["name"], pdf["data"])})
-    return pd.DataFrame({"path": [f"sepa_{year}.zip"], "content": [data]})
+def _archives(lines, archive_lines: int = ARCHIVE_LINES):
+    """(path, content): the feed packed as archives of about ``archive_lines`` lines each, however long a week is."""
+    sizes = lines.groupBy("week_date", "kind").agg(F.ceil(F.count(F.lit(1)) / archive_lines).alias("parts"))
+    dealt = lines.join(sizes, ["week_date", "kind"]).withColumn("part", F.pmod(F.xxhash64("n"), F.col("parts")))
+    return dealt.select("week_date", "kind", "part", "line").groupBy("week_date", "kind", "part").applyInPandas(_archive, "path string, content binary")
 
 
 @register("archive_expand", with_(BRONZE_PRODUCTS, BRONZE_STORES, BRONZE_CHAINS, """
@@ -73,9 +77,9 @@ def archive_expand(t):
     spark = t.spark
     root = scratch_path(spark, f"archives/{uuid.uuid4().hex[:8]}")
     checkpoint_dir(spark)
-    inner = _feed_lines(t).groupBy("week_date").applyInPandas(_inner_zip, "year string, name string, data binary")
-    outer = inner.groupBy("year").applyInPandas(_outer_zip, "path string, content binary")
-    lines = archives.expand_archives(outer).checkpoint()   # expanded once, landed three times
+    # numbered rows are checkpointed, so equal lines are dealt apart and a lost task deals them alike
+    feed = _feed_lines(t).withColumn("n", F.monotonically_increasing_id()).checkpoint()
+    lines = archives.expand_archives(_archives(feed)).checkpoint()   # expanded once, landed three times
     for kind, cols in COLUMNS.items():
         archives.land_lines(lines, kind, cols, f"{root}/landing")
     counts = None

@@ -3,7 +3,7 @@
 Archives arrive as files read with the ``binaryFile`` source (one row per archive: path, content).
 An outer ZIP holds inner ZIPs whose names carry a ``YYYY-MM-DD`` date; each inner ZIP holds the
 feed CSVs. Expansion is a ``mapInPandas`` over archive rows (byte-level work Spark has no built-in
-for), yielding one row per CSV line — never a whole archive's text as one value downstream. Landing
+for), yielding one row per CSV line; a member is decoded as a stream, CHUNK_LINES lines at a time. Landing
 is plain Spark: header line dropped (the first header defines the columns), body lines parsed with
 ``from_csv`` into all-string columns and written per date with the CSV writer.
 """
@@ -14,6 +14,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 DATE_RE = re.compile(r"(\d{4}-\d{2}-\d{2})")
 TARGETS = ("productos", "sucursales", "comercio")
+#: Lines of a member that are held at once.
+CHUNK_LINES = 50_000
 LINES_SCHEMA = "archive string, week_date string, kind string, member_no int, line_no int, line string"
 
 
@@ -42,11 +45,14 @@ def _expand(batches: Iterator[pd.DataFrame], targets: Sequence[str]) -> Iterator
                             kind = member.rsplit("/", 1)[-1].rsplit(".", 1)[0].lower()
                             if kind not in targets:
                                 continue
-                            text = inner.read(member).decode("utf-8-sig")     # BOM stripped
-                            lines = text.splitlines()
-                            yield pd.DataFrame({
-                                "archive": path, "week_date": m.group(1), "kind": kind,
-                                "member_no": inner_no, "line_no": range(len(lines)), "line": lines})
+                            with inner.open(member) as raw:
+                                text = io.TextIOWrapper(raw, encoding="utf-8-sig")     # BOM stripped
+                                at = 0
+                                while lines := [x.rstrip("\n") for x in islice(text, CHUNK_LINES)]:
+                                    yield pd.DataFrame({
+                                        "archive": path, "week_date": m.group(1), "kind": kind,
+                                        "member_no": inner_no, "line_no": range(at, at + len(lines)), "line": lines})
+                                    at += len(lines)
 
 
 def expand_archives(archives: DataFrame, targets: Sequence[str] = TARGETS) -> DataFrame:
