@@ -22,6 +22,11 @@ from gondola.llm.common import written
 BROADCAST_LEAVES = 50_000
 
 
+def _exact(name: str) -> str:
+    """A whole number wide enough for products with a weight: 64 bits overflow near 4e13 tokens."""
+    return f"cast({name} as decimal(19,0))"
+
+
 def _order_key(seed: int, epoch: Column, id_: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(id_.cast("string"), F.lit("null"))))
 
@@ -34,7 +39,7 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[s
     """
     num, den = fraction
     out = leaves.withColumn("capacity", F.col("tokens") * max_epochs).withColumn(
-        "parent_budget", F.expr(f"(sum(tokens) over () * {num}) div {den}"))
+        "parent_budget", F.expr(f"({_exact('sum(tokens) over ()')} * {num}) div {den}"))
     for depth in range(len(levels)):
         node, level = levels[:depth + 1], levels[depth]
         given = weights.get(level, {})
@@ -48,11 +53,11 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[s
         before = ordered.rowsBetween(Window.unboundedPreceding, -1)
         nodes = nodes.withColumn("w_left", F.sum("w").over(parent) - F.coalesce(F.sum("w").over(before), F.lit(0)))
         nodes = nodes.withColumn("b_left", F.col("b") - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-        nodes = nodes.withColumn("full", (F.col("cap") * F.col("w_left") <= F.col("b_left") * F.col("w")).cast("int"))
+        nodes = nodes.withColumn("full", F.expr(f"cast({_exact('cap')} * w_left <= {_exact('b_left')} * w as int)"))
         nodes = nodes.withColumn("full", F.min("full").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
         nodes = nodes.withColumn("b_rest", F.col("b") - F.sum(F.col("cap") * F.col("full")).over(parent))
         nodes = nodes.withColumn("w_rest", F.sum(F.col("w") * (1 - F.col("full"))).over(parent))
-        nodes = nodes.withColumn("budget", F.expr("case when full = 1 then cap else (b_rest * w) div w_rest end"))
+        nodes = nodes.withColumn("budget", F.expr(f"case when full = 1 then cap else ({_exact('b_rest')} * w) div w_rest end"))
         out = out.join(nodes.select(*node, "budget"), node).drop("parent_budget").withColumnRenamed("budget", "parent_budget")
     return out.withColumnRenamed("parent_budget", "budget").drop("capacity")
 
