@@ -32,6 +32,8 @@ QUANTILE, SLACK = 0.99, 0.15
 STEADY = 64
 #: Languages with fewer held-out trusted documents use the quantile over all languages.
 LEAST_HELD = 30
+#: Above so many languages their quantiles are joined by shuffle instead of broadcast.
+BROADCAST_LANGS = 10_000
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 32 << 20
 
@@ -179,7 +181,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     def by_language(rows: DataFrame, column: str, q: float, name: str):
         """Quantile of each language with enough rows, and of all rows."""
         own = rows.groupBy("lang").agg(F.percentile_approx(column, q, 10_000).alias(name), F.count(F.lit(1)).alias("m"))
-        return own.where(F.col("m") >= LEAST_HELD).select("lang", name), rows.agg(F.percentile_approx(column, q, 10_000)).first()[0]
+        own = written(own.where(F.col("m") >= LEAST_HELD).select("lang", name), f"kn-{name.replace('_', '-')}")
+        small = own.count() <= BROADCAST_LANGS
+        return F.broadcast(own) if small else own, rows.agg(F.percentile_approx(column, q, 10_000)).first()[0]
 
     centers, center = by_language(held, "entropy", 0.5, "own_center")
 

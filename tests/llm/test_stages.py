@@ -165,3 +165,25 @@ def test_bpe_stage_against_tiktoken(spark):
              hashlib.sha256((r.text or "").encode()).hexdigest()] += 1
     got = corpus_pipeline.bpe(spark, docs, SF_SMALL).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
     assert Counter(map(tuple, got.collect())) == want
+
+
+def test_budgets_of_more_tokens_than_64_bit_products_hold(spark):
+    from gondola.llm.mixing import leaf_budgets
+
+    big = 10**17
+    leaves = spark.createDataFrame([("a", 3 * big), ("b", big), ("c", 10 * big)], "s string, tokens long")
+    got = {r.s: r.budget for r in leaf_budgets(leaves, ["s"], {"s": {"a": 1000, "b": 999, "c": 1}}, (1, 2), 1).collect()}
+    # a and b can't use their shares of 7 * big and are taken whole; c takes what they leave
+    assert got == {"a": 3 * big, "b": big, "c": 3 * big}
+    got = {r.s: r.budget for r in leaf_budgets(leaves, ["s"], {"s": {"a": 1000, "b": 1000, "c": 1000}}, (1, 2), 1).collect()}
+    assert got == {"a": 3 * big, "b": big, "c": 3 * big}
+
+
+def test_quantiles_by_shuffle_when_languages_are_many(spark, monkeypatch):
+    from gondola.llm import quality
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    labels = q.trusted_labels(spark, SF_SMALL)
+    want = Counter(map(tuple, quality.classify(docs, labels).select("id", "threshold", "kept").collect()))
+    monkeypatch.setattr(quality, "BROADCAST_LANGS", 0)
+    assert Counter(map(tuple, quality.classify(docs, labels).select("id", "threshold", "kept").collect())) == want
