@@ -59,6 +59,7 @@ def _marks(attrs: str, tag: str, in_article: bool) -> tuple[str, bool, bool]:
 
     The id of a heading, paragraph or section is a link target and marks nothing. Inside an article a class or
     id marks when it consists of marker words only, one of them no weak one; else with a marker word it may mark.
+    A role names a landmark, so its weak words mark too.
     """
     words, drop, maybe = [], False, False
     for key, value in _CLASS.findall(attrs):
@@ -71,7 +72,7 @@ def _marks(attrs: str, tag: str, in_article: bool) -> tuple[str, bool, bool]:
             for token in value.lower().split():
                 parts = [w for w in re.split(r"[^a-z]+", token) if w]
                 hits = sum(w in _DROP_WORDS for w in parts)
-                weak = all(w in _WEAK_WORDS for w in parts)
+                weak = key != "role" and all(w in _WEAK_WORDS for w in parts)
                 drop |= hits > 0 and (not in_article or hits == len(parts) and not weak)
                 maybe |= hits > 0
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
